@@ -126,7 +126,7 @@ def dq_report(
         F.when(is_total, "failed_checks").otherwise(F.col("check_name")).alias("_check"),
         (failed == 0).alias("passed"),
         failed.alias("n_failed"),
-        F.when(~is_total, F.sum("n_bad")).alias("n_bad"),
+        F.sum("n_bad").alias("n_bad"),
     ).select(
         F.col("_layer").alias("layer"),
         F.col("_check").alias("check_name"),

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corridor.sources.tables import list_files
-
 Trigger = dict[str, object]
 AVAILABLE_NOW: Trigger = {"availableNow": True}
 
@@ -50,23 +48,24 @@ def write_complete(
 ) -> StreamingQuery:
     """Replace the whole result at every trigger; read it with ``read_complete``.
 
-    Results go to two folders in turn. A reader, or a restart, always finds the
-    last finished one untouched, and a repeated batch writes the same folder again.
+    Results go to two folders in turn, and a commit is noted when one is finished.
+    A reader, or a restart, always finds the last finished result untouched, and a
+    repeated batch writes the same folder again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").save(f"{path}/slot={batch_id % 2}")
+        batch.write.format(fmt).mode("overwrite").save(f"{path}/slot_{batch_id % 2}")
+        commit = batch.sparkSession.range(1).select(F.lit(batch_id).alias("batch_id"))
+        commit.write.format(fmt).mode("append").save(f"{path}/commits")
 
     return _start_batches(df, "complete", checkpoint, trigger, write)
 
 
 def read_complete(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The newest finished result of ``write_complete``."""
-    done = list_files(spark, path, pattern="_SUCCESS")
-    newest = done.orderBy(F.desc("modificationTime")).first()
-    if newest is None:
-        raise FileNotFoundError(f"no finished result below {path}")
-    return spark.read.format(fmt).load(newest["path"].rsplit("/", 1)[0])
+    commits = spark.read.format(fmt).load(f"{path}/commits")
+    newest = commits.agg(F.max("batch_id")).first()[0]
+    return spark.read.format(fmt).load(f"{path}/slot_{newest % 2}")
 
 
 def write_update(

@@ -7,8 +7,7 @@ out of range, missing fields), so that parsing and validation have work to do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from corridor.config import SUBDIVISION, TOPIC
 
@@ -27,6 +26,8 @@ FAULT_PERIOD = {
     "no_adherence": 79,
     "late": 97,
 }
+# The columns used; naming them saves reading file footers for the schema.
+EVENTS = "event_id bigint, user_id bigint, event_type string, value double"
 FIRST_SECOND = 1704067200  # 2024-01-01T00:00:00Z
 TICK_SECONDS = 2
 LATE_SECONDS = 45
@@ -34,105 +35,90 @@ TRAINS = 5
 RING = 20
 
 
-def _has(fault: str) -> Column:
-    return F.col("n") % FAULT_PERIOD[fault] == 0
+def _has(fault: str) -> str:
+    return f"n % {FAULT_PERIOD[fault]} = 0"
 
 
-def _padded(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+def _padded(prefix: str, number: str, width: int) -> str:
+    return f"concat('{prefix}', lpad(cast({number} as string), {width}, '0'))"
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Use all cores for an input with fewer splits than cores; leave any other alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def train_events(spark: SparkSession, sf_dir: str, fleet: bool = False) -> DataFrame:
     """Typed train events plus the delivery columns ``n``, ``tick`` and ``tr``."""
-    numbered = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("event_id").alias("n"),
-        F.expr("event_id div 5").alias("tick"),
-        (F.col("event_id") % TRAINS).cast("int").alias("tr"),
-        "user_id",
-        "event_type",
-        "value",
-    )
-    block = F.expr(f"cast((tick div (3 + tr) + 4 * tr) % {RING} as int)")
-    placed = numbered.withColumn("bi", block).withColumn(
-        "event_time",
-        F.timestamp_seconds(
-            F.lit(FIRST_SECOND)
-            + F.col("tick") * TICK_SECONDS
-            - F.when(_has("late"), LATE_SECONDS).otherwise(0)
-        ),
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    placed = (
+        _spread(events)
+        .selectExpr(
+            "event_id as n",
+            f"event_id div {TRAINS} as tick",
+            f"cast(event_id % {TRAINS} as int) as tr",
+            "user_id",
+            "event_type",
+            "value",
+        )
+        .selectExpr(
+            "*",
+            f"cast((tick div (3 + tr) + 4 * tr) % {RING} as int) as bi",
+            f"timestamp_seconds({FIRST_SECOND} + tick * {TICK_SECONDS}"
+            f" - if({_has('late')}, {LATE_SECONDS}, 0)) as event_time",
+        )
     )
-    train = _padded("T_", F.col("tr") + 1, 3)
-    subdivision = F.lit(SUBDIVISION)
+    train, subdivision = _padded("T_", "tr + 1", 3), f"'{SUBDIVISION}'"
     if fleet:
-        train = _padded("T_", F.col("user_id") + 1, 4)
-        subdivision = _padded("Sub_", F.col("user_id") % 30, 2)
-    speed = (F.floor(F.col("value") * 10).cast("bigint") % 791).cast("double") / F.lit(10.0)
-    signal = (
-        F.when(F.col("event_type") == "error", "stop")
-        .when(F.col("event_type").isin("purchase", "signup"), "approach")
-        .otherwise("clear")
-    )
-    ahead = F.array(
-        F.struct(
-            _padded("B_", (F.col("bi") + 1) % RING + 1, 3).alias("block_id"),
-            _padded("T_", (F.col("tr") + 1) % TRAINS + 1, 3).alias("occupying_train"),
-            (60 + F.col("n") % 241).cast("float").alias("estimated_clearance_sec"),
-        )
+        train = _padded("T_", "user_id + 1", 4)
+        subdivision = _padded("Sub_", "user_id % 30", 2)
+    ahead = (
+        f"struct({_padded('B_', f'(bi + 1) % {RING} + 1', 3)} as block_id,"
+        f" {_padded('T_', f'(tr + 1) % {TRAINS} + 1', 3)} as occupying_train,"
+        " cast(60 + n % 241 as float) as estimated_clearance_sec)"
     )
-    return placed.select(
+    return placed.selectExpr(
         "n",
         "tick",
         "tr",
-        _padded("E_", F.col("n"), 12).alias("event_id"),
-        F.when(_has("bad_time"), "not-a-date")
-        .otherwise(
-            F.concat(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
-        )
-        .alias("timestamp_utc"),
-        F.when(~_has("no_train"), train).alias("train_id"),
-        F.when(_has("no_block"), F.lit(None))
-        .when(_has("off_corridor"), "B_021")
-        .otherwise(_padded("B_", F.col("bi") + 1, 3))
-        .alias("block_id"),
-        F.when(_has("off_corridor"), RING).otherwise(F.col("bi")).alias("block_idx"),
-        subdivision.alias("subdivision"),
-        F.when(_has("no_speed"), F.lit(None))
-        .when(_has("overspeed"), 85.0)
-        .when(_has("negative_speed"), -1.0)
-        .otherwise(speed)
-        .cast("float")
-        .alias("current_speed_mph"),
-        F.lit(79.0).cast("float").alias("max_authorized_speed_mph"),
-        F.lit(18400).alias("gross_tonnage"),
-        F.when(_has("no_signal"), F.lit(None))
-        .when(_has("unknown_signal"), "flashing")
-        .otherwise(signal)
-        .alias("signal_aspect_ahead"),
-        F.when(F.col("n") % 3 == 0, F.slice(ahead, 1, 0))
-        .otherwise(ahead)
-        .alias("blocks_ahead_occupied"),
-        F.when(~_has("no_adherence"), (F.col("n") * 37) % 901 - 600)
-        .cast("float")
-        .alias("schedule_adherence_sec"),
-        (((F.col("n") * 13) % 301 - 150).cast("double") / F.lit(100.0))
-        .cast("float")
-        .alias("track_grade_pct"),
+        f"{_padded('E_', 'n', 12)} as event_id",
+        f"if({_has('bad_time')}, 'not-a-date',"
+        """ concat(date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss"), '+00:00'))"""
+        " as timestamp_utc",
+        f"if({_has('no_train')}, null, {train}) as train_id",
+        f"case when {_has('no_block')} then null when {_has('off_corridor')} then 'B_021'"
+        f" else {_padded('B_', 'bi + 1', 3)} end as block_id",
+        f"if({_has('off_corridor')}, {RING}, bi) as block_idx",
+        f"{subdivision} as subdivision",
+        f"cast(case when {_has('no_speed')} then null when {_has('overspeed')} then 85D"
+        f" when {_has('negative_speed')} then -1D"
+        " else cast(cast(floor(value * 10D) as bigint) % 791 as double) / 10D end as float)"
+        " as current_speed_mph",
+        "cast(79 as float) as max_authorized_speed_mph",
+        "18400 as gross_tonnage",
+        f"case when {_has('no_signal')} then null when {_has('unknown_signal')} then 'flashing'"
+        " when event_type = 'error' then 'stop'"
+        " when event_type in ('purchase', 'signup') then 'approach' else 'clear' end"
+        " as signal_aspect_ahead",
+        f"if(n % 3 = 0, slice(array({ahead}), 1, 0), array({ahead})) as blocks_ahead_occupied",
+        f"cast(if({_has('no_adherence')}, null, (n * 37) % 901 - 600) as float)"
+        " as schedule_adherence_sec",
+        "cast(cast((n * 13) % 301 - 150 as double) / 100D as float) as track_grade_pct",
     )
 
 
 def log_rows(spark: SparkSession, sf_dir: str, fleet: bool = False) -> DataFrame:
     """The train events as keyed JSON rows, with ``n`` kept as the delivery order."""
     events = train_events(spark, sf_dir, fleet)
-    fields = [c for c in events.columns if c not in ("n", "tick", "tr")]
-    return events.select(
-        F.col("train_id").cast("binary").alias("key"),
-        F.when(_has("malformed"), '{"event_id":')
-        .otherwise(F.to_json(F.struct(*fields)))
-        .cast("binary")
-        .alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        F.col("tr").alias("partition"),
-        F.col("tick").alias("offset"),
-        F.timestamp_seconds(F.lit(FIRST_SECOND) + F.col("tick") * TICK_SECONDS).alias("timestamp"),
+    fields = ", ".join(c for c in events.columns if c not in ("n", "tick", "tr"))
+    return events.selectExpr(
+        "cast(train_id as binary) as key",
+        f"""cast(if({_has("malformed")}, '{{"event_id":', to_json(struct({fields})))"""
+        " as binary) as value",
+        f"'{TOPIC}' as topic",
+        "tr as partition",
+        "tick as offset",
+        f"timestamp_seconds({FIRST_SECOND} + tick * {TICK_SECONDS}) as timestamp",
         "n",
     )

@@ -1,0 +1,53 @@
+"""Bytes of a small ONNX network, written field by field (no onnx package is present)."""
+
+import numpy as np
+
+
+def varint(n):
+    out = b""
+    while n > 127:
+        out, n = out + bytes([n & 127 | 128]), n >> 7
+    return out + bytes([n])
+
+
+def num(field, n):
+    return varint(field << 3) + varint(n)
+
+
+def data(field, payload):
+    payload = payload.encode() if isinstance(payload, str) else payload
+    return varint(field << 3 | 2) + varint(len(payload)) + payload
+
+
+def tensor(name, array):
+    array = np.asarray(array, dtype=np.float32)
+    dims = b"".join(num(1, d) for d in array.shape)
+    return dims + num(2, 1) + data(8, name) + data(9, array.tobytes())
+
+
+def value(name, width):
+    shape = data(1, data(2, "batch")) + data(1, num(1, width))
+    return data(1, name) + data(2, data(1, num(1, 1) + data(2, shape)))
+
+
+def node(op, inputs, output, attributes=b""):
+    return b"".join(data(1, i) for i in inputs) + data(2, output) + data(4, op) + attributes
+
+
+def mlp_bytes(layers):
+    """Dense layers with relu in between: ``observation`` -> ``action_logits``."""
+    transposed = data(5, data(1, "transB") + num(3, 1) + num(20, 2))
+    nodes, weights, current = [], [], "observation"
+    for i, layer in enumerate(layers):
+        last = i == len(layers) - 1
+        weights += [tensor(f"w{i}", layer.weights), tensor(f"b{i}", layer.bias)]
+        out = "action_logits" if last else f"z{i}"
+        nodes.append(node("Gemm", [current, f"w{i}", f"b{i}"], out, transposed))
+        if not last:
+            nodes.append(node("Relu", [out], f"h{i}"))
+            current = f"h{i}"
+    graph = b"".join(data(1, n) for n in nodes) + data(2, "policy")
+    graph += b"".join(data(5, w) for w in weights)
+    graph += data(11, value("observation", len(layers[0].weights[0])))
+    graph += data(12, value("action_logits", len(layers[-1].bias)))
+    return num(1, 8) + data(7, graph) + data(8, data(1, "") + num(2, 17))

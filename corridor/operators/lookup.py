@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are
-# fewer than HOT_SHARE hot keys whatever the size of the data.
-HOT_SHARE = 1000
+# Only this many keys, those with the most rows, may travel by broadcast. Any key
+# with more than 1/HOT_KEYS of all rows is one of them, whatever the data.
+HOT_KEYS = 1000
+# A key below this size never needs it.
 HOT_ROWS = 100_000
 SPREAD = 1024
 
 
+def _same(rows: DataFrame, keys: Sequence[str], other: DataFrame) -> Column:
+    """Null-safe match of ``keys`` with the renamed key columns of ``other``."""
+    return reduce(
+        lambda a, b: a & b, (rows[k].eqNullSafe(other[f"_key_{k}"]) for k in keys)
+    )
+
+
 def attach_by_key(
     rows: DataFrame,
     per_key: DataFrame,
@@ -23,21 +32,30 @@ def attach_by_key(
 ) -> DataFrame:
     """Left join of ``rows`` to ``per_key``, which has one row per ``keys``.
 
-    ``per_key`` counts its rows in ``n_rows``. Values of hot keys travel by
-    broadcast (fewer than ``HOT_SHARE`` rows by construction); the rows of those
-    keys are spread over ``SPREAD`` buckets of ``spread_by`` so the equi join for
-    all other keys stays balanced. No row is dropped on either path.
+    ``per_key`` counts its rows in ``n_rows``. Values of the hottest keys travel
+    by broadcast, at most ``HOT_KEYS`` of them; their rows are spread over
+    ``SPREAD`` buckets of ``spread_by``, so the equi join that serves all other
+    keys stays balanced. Every row takes one of the two ways; none is dropped.
     """
     values = [c for c in per_key.columns if c not in keys and c != "n_rows"]
-    total = per_key.agg(F.sum("n_rows")).scalar()
-    packed = per_key.select(*keys, "n_rows", F.struct(*values).alias("_value"))
-    hot = packed.where((F.col("n_rows") > hot_rows) & (F.col("n_rows") * HOT_SHARE > total))
+    renamed = [F.col(k).alias(f"_key_{k}") for k in keys]
+    value = F.struct(*values)
+    hot = (
+        per_key.where(F.col("n_rows") > hot_rows)
+        .orderBy(F.desc("n_rows"))
+        .limit(HOT_KEYS)
+        .select(*renamed, value.alias("_hot"))
+    )
     bucket = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)) + 1
-    tagged = rows.join(
-        F.broadcast(hot.select(*keys, F.col("_value").alias("_hot"))), list(keys), "left"
-    ).withColumn("_bucket", F.when(F.col("_hot").isNull(), 0).otherwise(bucket))
-    cold = packed.select(*keys, F.lit(0).cast("long").alias("_bucket"), "_value")
-    value = F.coalesce("_hot", "_value")
-    return tagged.join(cold, [*keys, "_bucket"], "left").select(
-        *(F.col(c) for c in rows.columns), *(value[c].alias(c) for c in values)
+    tagged = (
+        rows.join(F.broadcast(hot), _same(rows, keys, hot), "left")
+        .withColumn("_bucket", F.when(F.col("_hot").isNull(), 0).otherwise(bucket))
+        .drop(*(f"_key_{k}" for k in keys))
+    )
+    cold = per_key.select(
+        *renamed, F.lit(0).cast("long").alias("_cold_bucket"), value.alias("_cold")
     )
+    found = F.coalesce("_hot", "_cold")
+    return tagged.join(
+        cold, _same(tagged, keys, cold) & (tagged["_bucket"] == cold["_cold_bucket"]), "left"
+    ).select(*(tagged[c] for c in rows.columns), *(found[c].alias(c) for c in values))

@@ -18,10 +18,6 @@ STATE = {
 }
 
 
-def _sliding(time: Column, cfg: CorridorConfig) -> Column:
-    return F.window(time, f"{cfg.window_sec} seconds", f"{cfg.slide_sec} seconds")
-
-
 def occupancy(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     """One row per window and train: the train's newest event in that window.
 
@@ -37,18 +33,41 @@ def occupancy(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     newest = F.struct(
         "event_time", "event_id", *(F.col(src).alias(out) for out, src in STATE.items())
     )
-    rows, latest, time = silver, newest, F.col("event_time")
-    if not silver.isStreaming and cfg.window_sec % cfg.slide_sec == 0:
-        pane = F.window(time, f"{cfg.slide_sec} seconds").alias("pane")
-        rows = silver.groupBy(pane, *cfg.keys).agg(F.max(newest).alias("state"))
-        latest, time = F.col("state"), F.col("pane.start")
+    if silver.isStreaming or cfg.window_sec % cfg.slide_sec:
+        latest = _by_window(silver, newest, cfg)
+    else:
+        latest = _by_pane(silver, newest, cfg)
+    return latest.select(
+        "window_start",
+        "window_end",
+        *cfg.keys,
+        *(F.col(f"state.{c}").alias(c) for c in STATE),
+    )
+
+
+def _by_window(silver: DataFrame, newest: Column, cfg: CorridorConfig) -> DataFrame:
+    span = F.window("event_time", f"{cfg.window_sec} seconds", f"{cfg.slide_sec} seconds")
+    return (
+        silver.groupBy(span.alias("span"), *cfg.keys)
+        .agg(F.max(newest).alias("state"))
+        .select("*", F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"))
+    )
+
+
+def _by_pane(silver: DataFrame, newest: Column, cfg: CorridorConfig) -> DataFrame:
+    second = F.unix_seconds("event_time")
+    pane = (second - F.pmod(second, F.lit(cfg.slide_sec))).alias("pane")
+    panes = silver.groupBy(pane, *cfg.keys).agg(F.max(newest).alias("state"))
+    back = F.array(*(F.lit(s) for s in range(0, cfg.window_sec, cfg.slide_sec)))
+    start = F.col("start_sec")
     return (
-        rows.groupBy(_sliding(time, cfg).alias("span"), *cfg.keys)
-        .agg(F.max(latest).alias("state"))
-        .select(
-            F.col("span.start").alias("window_start"),
-            F.col("span.end").alias("window_end"),
-            *cfg.keys,
-            *(F.col(f"state.{c}").alias(c) for c in STATE),
+        panes.select("*", F.explode(back).alias("back"))
+        .groupBy((F.col("pane") - F.col("back")).alias("start_sec"), *cfg.keys)
+        .agg(F.max("state").alias("state"))
+        .withColumns(
+            {
+                "window_start": F.timestamp_seconds(start),
+                "window_end": F.timestamp_seconds(start + cfg.window_sec),
+            }
         )
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corridor.config import CorridorConfig
 from corridor.operators import network
+from corridor.operators.occupancy import occupancy
 
 T0 = datetime(2026, 1, 1)
 
@@ -54,10 +55,12 @@ def test_hot_snapshots_give_the_same_rows(layers, op):
     assert rows(f(hot, hot_rows=1)) == rows(f(hot, hot_rows=10**9))
 
 
-def test_lookup_spreads_only_hot_keys(layers):
-    """Fewer than 1000 keys may be broadcast, whatever the data."""
-    plan = network.derive_signals(layers.occupancy)._jdf.queryExecution().optimizedPlan().toString()
-    assert "scalar-subquery" in plan and "CartesianProduct" not in plan
+def test_lookup_reads_the_snapshot_shuffle_once(layers):
+    """Rows and per-snapshot values come from the same aggregation."""
+    df = network.derive_signals(occupancy(layers.silver))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "CartesianProduct" not in plan
 
 
 def test_cascade(spark):

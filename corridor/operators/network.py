@@ -8,6 +8,8 @@ with trains.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from corridor.functions.ring import block_name, ring
 from corridor.operators.lookup import HOT_ROWS, attach_by_key
 
 LOOKAHEAD = 2
+WORD_BITS = 64
 
 
 def _on_corridor(cfg: CorridorConfig) -> Column:
@@ -27,16 +30,41 @@ def occupied_blocks(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataF
     return snapshot.select(*cfg.snapshot_keys, "block_idx").distinct()
 
 
+def _words(cfg: CorridorConfig) -> range:
+    """Numbers of the 64-bit words that hold one bit per block."""
+    return range(-(-cfg.n_blocks // WORD_BITS))
+
+
 def _with_occupied(snapshot: DataFrame, cfg: CorridorConfig, hot_rows: int) -> DataFrame:
-    inside = F.when(_on_corridor(cfg), F.col("block_idx"))
+    """Add the occupied blocks of each row's snapshot as bits: fixed size, hash aggregated."""
+    idx = F.col("block_idx")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(idx, F.lit(WORD_BITS)))
     per_snapshot = snapshot.groupBy(*cfg.snapshot_keys).agg(
-        F.collect_set(inside).alias("occupied"), F.count("*").alias("n_rows")
+        *(
+            F.bit_or(
+                F.when(_on_corridor(cfg) & (F.floor(idx / WORD_BITS) == w), bit).otherwise(
+                    F.lit(0).cast("bigint")
+                )
+            ).alias(f"_word_{w}")
+            for w in _words(cfg)
+        ),
+        F.count("*").alias("n_rows"),
     )
     return attach_by_key(snapshot, per_snapshot, cfg.snapshot_keys, ["train_id"], hot_rows)
 
 
 def _is_occupied(k: int, cfg: CorridorConfig) -> Column:
-    return F.array_contains("occupied", ring(F.col("block_idx"), k, cfg.n_blocks))
+    at = ring(F.col("block_idx"), k, cfg.n_blocks)
+    taken = [
+        (F.floor(at / WORD_BITS) == w)
+        & (F.getbit(f"_word_{w}", F.pmod(at, F.lit(WORD_BITS))) == 1)
+        for w in _words(cfg)
+    ]
+    return reduce(lambda a, b: a | b, taken)
+
+
+def _drop_occupied(df: DataFrame, cfg: CorridorConfig) -> DataFrame:
+    return df.drop(*(f"_word_{w}" for w in _words(cfg)))
 
 
 def derive_signals(
@@ -48,11 +76,8 @@ def derive_signals(
         .when(_is_occupied(2, cfg), "approach")
         .otherwise("clear")
     )
-    return (
-        _with_occupied(snapshot, cfg, hot_rows)
-        .withColumn("derived_aspect", aspect)
-        .drop("occupied")
-    )
+    known = _with_occupied(snapshot, cfg, hot_rows)
+    return _drop_occupied(known.withColumn("derived_aspect", aspect), cfg)
 
 
 def blocks_ahead_count(
@@ -60,18 +85,16 @@ def blocks_ahead_count(
 ) -> DataFrame:
     """Add ``n_ahead``: how many of the next two blocks are occupied."""
     count = sum(_is_occupied(k, cfg).cast("int") for k in range(1, LOOKAHEAD + 1))
-    return (
-        _with_occupied(snapshot, cfg, hot_rows).withColumn("n_ahead", count).drop("occupied")
-    )
+    known = _with_occupied(snapshot, cfg, hot_rows)
+    return _drop_occupied(known.withColumn("n_ahead", count), cfg)
 
 
 def next_block_free(
     snapshot: DataFrame, cfg: CorridorConfig = DEFAULT, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """The trains that may advance: nobody stands in their next block."""
-    return (
-        _with_occupied(snapshot, cfg, hot_rows).where(~_is_occupied(1, cfg)).drop("occupied")
-    )
+    known = _with_occupied(snapshot, cfg, hot_rows)
+    return _drop_occupied(known.where(~_is_occupied(1, cfg)), cfg)
 
 
 def _with_holders(snapshot: DataFrame, cfg: CorridorConfig, hot_rows: int) -> DataFrame:

@@ -207,11 +207,14 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write two generations of files with different columns, read the newest eight."""
+    """Ten generations of files written in turn; read the files of the newest eight."""
     path = new_path(spark, "recent")
-    for name, part in zip(("even", "odd"), _split_by_window(Layers(spark, sf_dir).occupancy)):
-        tables.write_table(part.repartition("train_id"), f"{path}/{name}")
-    return edge(tables.read_recent_files(spark, path, 8))
+    generation = F.expr("cast(unix_seconds(window_start) div 10 % 10 as int)")
+    rows = Layers(spark, sf_dir).occupancy.withColumn("generation", generation)
+    deliveries.write_in_turn(rows, path, "generation")
+    files = tables.list_files(spark, path)
+    newest = files.where(F.regexp_extract("path", r"generation=(\d+)", 1).cast("int") >= 2)
+    return edge(tables.read_recent_files(spark, path, newest.count()))
 
 
 # --- policy -------------------------------------------------------------------

@@ -541,6 +541,10 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
           CASE WHEN epoch(window_start)::BIGINT // 10 % 2 = 1 THEN track_grade_pct END
             AS track_grade_pct FROM occ""",
     ),
+    "recent_files_scan": (
+        ("occ",),
+        f"SELECT {OCCUPANCY_COLUMNS} FROM occ WHERE epoch(window_start)::BIGINT // 10 % 10 >= 2",
+    ),
     "policy_features": (
         ("features",),
         f"SELECT window_start, train_id, blocks_count, {', '.join(OBSERVATION)} FROM features",

@@ -6,7 +6,7 @@ file times rise with the delivery number, which is the order a file stream reads
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corridor.sources.tables import list_files
@@ -32,13 +32,17 @@ def write_deliveries(
     number = F.floor(F.col("n") / rows_each).cast("int")
     if late_period:
         number = number + F.when(F.col("n") % late_period == 0, LATE_BY).otherwise(0)
-    rows.withColumn("delivery", number).drop("n").write.partitionBy("delivery").parquet(path)
-    return _set_times(rows.sparkSession, path)
+    return write_in_turn(rows.withColumn("delivery", number).drop("n"), path, "delivery")
 
 
-def _set_times(spark: SparkSession, path: str) -> int:
-    """Give the files modification times one second apart, in delivery order."""
-    number = F.regexp_extract("path", r"delivery=(\d+)", 1).cast("int")
+def write_in_turn(rows: DataFrame, path: str, part: str) -> int:
+    """Write one folder per value of ``part``; return the number of files.
+
+    The files get modification times one second apart, in the order of ``part``.
+    """
+    rows.write.partitionBy(part).parquet(path)
+    spark = rows.sparkSession
+    number = F.regexp_extract("path", rf"{part}=(\d+)", 1).cast("int")
     files = list_files(spark, path).select("path", number.alias("d")).orderBy("d", "path")
     names = [row["path"] for row in files.collect()]
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from corridor.config import DEFAULT, CorridorConfig
+from corridor.operators import scoring
 from corridor.operators.advisories import with_advisories
 from corridor.operators.events import parse_events, validate_events
 from corridor.operators.occupancy import occupancy
@@ -99,6 +100,20 @@ def start_gold(
     )
 
 
+def start_scored(
+    gold_stream: DataFrame,
+    layers: tuple[scoring.Layer, ...],
+    path: str,
+    checkpoint: str,
+    cfg: CorridorConfig = DEFAULT,
+    fmt: str = "parquet",
+    trigger: Trigger = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Publish Gold rows with the network's advice as one more column."""
+    scored = scoring.score_policy(scoring.with_features(gold_stream, cfg), layers)
+    return sinks.write_append(scored.drop("obs"), path, checkpoint, fmt, trigger)
+
+
 def finish(queries: Iterable[StreamingQuery]) -> None:
     """Wait for ``availableNow`` queries; the first failure is raised."""
     for query in queries:

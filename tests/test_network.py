@@ -28,6 +28,16 @@ def test_ring(spark):
     assert wrapped == {("T_001", "T_002"), ("T_003", "T_001")}
 
 
+def test_long_corridor(spark):
+    """More blocks than bits in a word."""
+    cfg = CorridorConfig(n_blocks=130)
+    s = snapshot(spark, ("T_001", 63), ("T_002", 64), ("T_003", 126), ("T_004", 128), ("T_005", 129))
+    got = {r.train_id: r.derived_aspect for r in network.derive_signals(s, cfg).collect()}
+    assert got == {
+        "T_001": "stop", "T_002": "clear", "T_003": "approach", "T_004": "stop", "T_005": "clear",
+    }
+
+
 def test_last_train_holds_a_shared_block(spark):
     s = snapshot(spark, ("T_001", 5), ("T_002", 6), ("T_004", 6))
     got = {(r.train_id, r.occupying_train) for r in network.blocks_ahead(s).collect()}

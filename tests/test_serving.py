@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corridor.functions import display
 from corridor.operators import quality, serving
 from corridor.operators.advisories import with_advisories
+from corridor.plans import dashboard
 from corridor.schema import GOLD, OCCUPANCY
 from corridor.session import new_path
 from corridor.sources import tables
@@ -103,3 +104,15 @@ def test_occupancy_check_counts_a_null_train(spark):
     df = spark.createDataFrame([(t,) for t in ["a", "b", "c", "d", None]], "train_id string")
     row = quality.check_occupancy(df).where("check_name = 'trains_expected'").first()
     assert row.passed
+
+
+def test_dashboard_loads_state_and_history(spark, layers):
+    base = new_path(spark, "dashboard")
+    for i in range(9):
+        part = gold(spark, ("T_001", i, i + 1, "clear", 1.0, 0.0), (f"T_9{i}", i, 1, "stop", 0.0, 0.0))
+        part.coalesce(1).write.parquet(f"{base}/gold/{i}")
+    state, is_sample = dashboard.load_state(spark, f"{base}/gold", f"{base}/none")
+    trains = {r.train_id: r.block_id for r in state.collect()}
+    # Nine files: the oldest is not part of the state, but of the history.
+    assert (len(trains), trains["T_001"], is_sample) == (9, "B_009", False)
+    assert dashboard.load_history(spark, f"{base}/gold", f"{base}/none").count() == 18

@@ -5,8 +5,9 @@ from conftest import SF, rows
 from pyspark.sql import functions as F
 
 from corridor.operators.events import parse_events, validate_events
-from corridor.plans.layers import Layers
-from corridor.schema import OCCUPANCY
+from corridor.operators.scoring import score_policy, with_features
+from corridor.plans.layers import Layers, example_network
+from corridor.schema import GOLD, OCCUPANCY
 from corridor.session import new_path
 from corridor.sources import deliveries, log, tables
 from corridor.streaming import jobs, sinks
@@ -86,3 +87,12 @@ def test_log_defaults(monkeypatch):
     options = log.log_options()
     assert options["kafka.bootstrap.servers"] == "a:1"
     assert (options["startingOffsets"], options["failOnDataLoss"]) == ("latest", "false")
+
+
+def test_scored_stream_equals_batch(spark, layers):
+    out = new_path(spark, "scored")
+    tables.write_table(layers.gold, f"{out}/gold")
+    stream = tables.read_table_stream(spark, f"{out}/gold", GOLD)
+    jobs.finish([jobs.start_scored(stream, example_network(), f"{out}/t", f"{out}/c")])
+    batch = score_policy(with_features(layers.gold), example_network()).drop("obs")
+    assert rows(tables.read_table(spark, f"{out}/t")) == rows(batch)

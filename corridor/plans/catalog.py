@@ -14,7 +14,7 @@ from corridor.operators import network, quality, scoring, serving
 from corridor.operators.advisories import sample_columns
 from corridor.operators.events import explode_blocks_ahead, parse_events, validate_events
 from corridor.plans.layers import Layers, edge, example_network, rounded
-from corridor.schema import GOLD, OCCUPANCY, SILVER_EVENT
+from corridor.schema import GOLD, OCCUPANCY, SILVER_EVENT, TRAIN_EVENT
 from corridor.session import new_path
 from corridor.sources import deliveries, log, tables
 from corridor.streaming import jobs, sinks
@@ -309,12 +309,11 @@ class _Feed:
         self.spark, self.base = spark, new_path(spark, "stream")
         rows_each = deliveries.rows_per_delivery(layers.log)
         files = deliveries.write_deliveries(layers.log, f"{self.base}/log", rows_each)
-        per_batch = -(-files // deliveries.DELIVERIES)
         self.log = log.read_event_stream(
             spark,
             "parquet",
             f"{self.base}/log",
-            maxFilesPerTrigger=str(per_batch),
+            maxFilesPerTrigger=deliveries.files_per_trigger(files),
             recursiveFileLookup="true",
         )
         self.silver = validate_events(parse_events(self.log))
@@ -335,8 +334,10 @@ def stream_silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = tables.read_table_stream(
         spark,
         feed.at("bronze"),
-        tables.read_table(spark, feed.at("bronze")).schema,
-        maxFilesPerTrigger="1",
+        TRAIN_EVENT,
+        maxFilesPerTrigger=deliveries.files_per_trigger(
+            tables.list_files(spark, feed.at("bronze")).count()
+        ),
     )
     jobs.finish(
         jobs.start_silver(bronze, feed.at("silver"), feed.at("occupancy"), feed.at("check"))

@@ -22,6 +22,11 @@ def rows_per_delivery(rows: DataFrame, deliveries: int = DELIVERIES) -> int:
     return max(MIN_ROWS, -(-total // deliveries))
 
 
+def files_per_trigger(files: int, triggers: int = DELIVERIES) -> str:
+    """File stream option that reads ``files`` in about ``triggers`` batches."""
+    return str(-(-files // triggers))
+
+
 def write_deliveries(
     rows: DataFrame, path: str, rows_each: int, late_period: int | None = None
 ) -> int:

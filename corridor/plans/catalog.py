@@ -305,7 +305,6 @@ class _Feed:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         layers = Layers(spark, sf_dir)
-        jobs.prepare_state(spark)
         self.spark, self.base = spark, new_path(spark, "stream")
         rows_each = deliveries.rows_per_delivery(layers.log)
         files = deliveries.write_deliveries(layers.log, f"{self.base}/log", rows_each)
@@ -323,9 +322,14 @@ class _Feed:
 
     def occupancy(self, mode: str) -> str:
         path = self.at(f"occupancy_{mode}")
-        jobs.finish([jobs.start_occupancy(self.silver, path, self.at(f"check_{mode}"), mode)])
+        with self.state():
+            jobs.finish([jobs.start_occupancy(self.silver, path, self.at(f"check_{mode}"), mode)])
         return path
 
+    def state(self):
+        """State partitions to suit the cores, whatever the session shuffles with."""
+        return jobs.state_settings(self.spark, self.spark.sparkContext.defaultParallelism)
+
 
 def stream_silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log to Bronze table to Silver table, with occupancy as a second sink."""
@@ -339,9 +343,10 @@ def stream_silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
             tables.list_files(spark, feed.at("bronze")).count()
         ),
     )
-    jobs.finish(
-        jobs.start_silver(bronze, feed.at("silver"), feed.at("occupancy"), feed.at("check"))
-    )
+    with feed.state():
+        jobs.finish(
+            jobs.start_silver(bronze, feed.at("silver"), feed.at("occupancy"), feed.at("check"))
+        )
     return edge(_flat_events(tables.read_table(spark, feed.at("silver"), schema=SILVER_EVENT)))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -36,6 +37,22 @@ def prepare_state(spark: SparkSession, partitions: int | None = None) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
 
 
+@contextmanager
+def state_settings(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """``prepare_state`` for the queries started inside; the session's own values return."""
+    names = [*STATE_SETTINGS, "spark.sql.shuffle.partitions"]
+    before = {name: spark.conf.get(name, None) for name in names}
+    prepare_state(spark, partitions)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def start_bronze(
     raw: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger=AVAILABLE_NOW
 ) -> StreamingQuery:

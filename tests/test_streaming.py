@@ -96,3 +96,11 @@ def test_scored_stream_equals_batch(spark, layers):
     jobs.finish([jobs.start_scored(stream, example_network(), f"{out}/t", f"{out}/c")])
     batch = score_policy(with_features(layers.gold), example_network()).drop("obs")
     assert rows(tables.read_table(spark, f"{out}/t")) == rows(batch)
+
+
+def test_state_settings_are_put_back(spark):
+    names = [*jobs.STATE_SETTINGS, "spark.sql.shuffle.partitions"]
+    before = [spark.conf.get(n, None) for n in names]
+    with jobs.state_settings(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert [spark.conf.get(n, None) for n in names] == before

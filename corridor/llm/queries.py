@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corridor.llm import rule_ledger
 from corridor.llm.batches import table
 from corridor.llm.packing import pack_documents
+from corridor.llm.prefix_tokens import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,9 +18,21 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ledger.apply_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
+    "op3_prefix_tokens": op3_prefix_tokens,
+    "op10_rule_ledger": op10_rule_ledger,
 }
 
 #: SQL that DuckDB runs on the same tables, where SQL can express the query.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_rule_ledger": rule_ledger.ORACLE,
+}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -43,8 +44,8 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-class PieceIds(dict):
-    """Ids of plain pieces as little-endian unsigned 32-bit bytes."""
+class SpacedIds(dict):
+    """Ids of a space and a plain word, as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -55,23 +56,19 @@ class PieceIds(dict):
             special_tokens={},
         )
 
-    def __missing__(self, piece: str) -> bytes:
+    def ids(self, piece: str) -> bytes:
+        return array("I", self.encoding.encode_ordinary(piece)).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= MEMO_PIECES:
             self.clear()
-        ids = self.encoding.encode_ordinary(piece)
-        value = self[piece] = np.array(ids, "<u4").tobytes()
+        value = self[word] = self.ids(" " + word)
         return value
 
 
 @lru_cache(maxsize=2)
-def piece_ids(path: str) -> PieceIds:
-    return PieceIds(path)
-
-
-def pieces(text: str) -> list[str]:
-    """A plain text cut before each space."""
-    first, *rest = text.split(" ")
-    return [first, *(" " + word for word in rest)] if first else [" " + word for word in rest]
+def spaced_ids(path: str) -> SpacedIds:
+    return SpacedIds(path)
 
 
 def encode(text: str) -> np.ndarray:
@@ -79,5 +76,6 @@ def encode(text: str) -> np.ndarray:
     if NOT_PLAIN.search(text):
         ids = library(vocabulary_file("json")).encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4")
-    memo = piece_ids(vocabulary_file("tiktoken"))
-    return np.frombuffer(b"".join(map(memo.__getitem__, pieces(text))), "<u4")
+    memo = spaced_ids(vocabulary_file("tiktoken"))
+    first, *rest = text.split(" ")
+    return np.frombuffer(memo.ids(first) + b"".join(map(memo.__getitem__, rest)), "<u4")

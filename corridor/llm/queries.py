@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corridor.llm import decontamination, rule_ledger
+from corridor.llm import decontamination, rule_ledger, secrets
 from corridor.llm.batches import table
 from corridor.llm.packing import pack_documents
 from corridor.llm.prefix_tokens import count_tokens
@@ -22,6 +22,10 @@ def op3_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op4_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -35,12 +39,14 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_prefix_tokens": op3_prefix_tokens,
+    "op4_entropy_secrets": op4_entropy_secrets,
     "op8_decontamination": op8_decontamination,
     "op10_rule_ledger": op10_rule_ledger,
 }
 
 #: SQL that DuckDB runs on the same tables, where SQL can express the query.
 ORACLE_SQL: dict[str, str] = {
+    "op4_entropy_secrets": secrets.oracle(),
     "op8_decontamination": decontamination.ORACLE,
     "op10_rule_ledger": rule_ledger.ORACLE,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corridor.llm import decontamination, rule_ledger, secrets
+from corridor.llm import decontamination, partenum, rule_ledger, secrets
 from corridor.llm.batches import table
 from corridor.llm.packing import pack_documents
 from corridor.llm.prefix_tokens import count_tokens
@@ -32,6 +32,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.apply_rules(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Query] = {
     "op3_prefix_tokens": op3_prefix_tokens,
     "op4_entropy_secrets": op4_entropy_secrets,
     "op8_decontamination": op8_decontamination,
+    "op9_partenum": op9_partenum,
     "op10_rule_ledger": op10_rule_ledger,
 }
 
@@ -48,5 +53,6 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_entropy_secrets": secrets.oracle(),
     "op8_decontamination": decontamination.ORACLE,
+    "op9_partenum": partenum.ORACLE,
     "op10_rule_ledger": rule_ledger.ORACLE,
 }

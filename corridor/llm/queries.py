@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corridor.llm import decontamination, partenum, rule_ledger, secrets
+from corridor.llm import (
+    byte_cnn,
+    decontamination,
+    partenum,
+    rule_ledger,
+    secrets,
+    toxic_segments,
+)
 from corridor.llm.batches import table
 from corridor.llm.packing import pack_documents
 from corridor.llm.prefix_tokens import count_tokens
@@ -26,6 +33,16 @@ def op4_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_segments.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -44,6 +61,8 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_prefix_tokens": op3_prefix_tokens,
     "op4_entropy_secrets": op4_entropy_secrets,
+    "op6_byte_cnn": op6_byte_cnn,
+    "op7_toxic_segments": op7_toxic_segments,
     "op8_decontamination": op8_decontamination,
     "op9_partenum": op9_partenum,
     "op10_rule_ledger": op10_rule_ledger,

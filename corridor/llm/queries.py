@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corridor.llm import (
+    brown,
     byte_cnn,
     decontamination,
     partenum,
@@ -33,6 +34,10 @@ def op4_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_prefix_tokens": op3_prefix_tokens,
     "op4_entropy_secrets": op4_entropy_secrets,
+    "op5_brown": op5_brown,
     "op6_byte_cnn": op6_byte_cnn,
     "op7_toxic_segments": op7_toxic_segments,
     "op8_decontamination": op8_decontamination,

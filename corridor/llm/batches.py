@@ -18,11 +18,15 @@ BATCH_BYTES = 8 << 20
 MEMO_WORDS = 300_000
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with bounded batches for functions on Arrow data."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return prepare(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    spark = prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:

@@ -188,17 +188,34 @@ def held_out(doc_id) -> object:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def probabilities(net: Network, table: list[np.ndarray], texts: list[bytes]) -> np.ndarray:
+    """The score of each text."""
+    every, counts = chunks_of(texts)
+    pooled = np.concatenate(
+        [net.pooled(every[i : i + 64], table) for i in range(0, len(every), 64)]
+    )
+    return 1 / (1 + np.exp(-net.logits(pooled, counts).astype(np.float64)))
+
+
+def accepted(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, whose text scores at least ``threshold``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = net.table()
+        for batch in slices(batches, 1 << 20):
+            texts = [t or b"" for t in utf8(batch.column(batch.schema.get_field_index("text")))]
+            yield batch.filter(pa.array(probabilities(net, table, texts) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, net: Network) -> DataFrame:
     """``doc_id`` and ``score``, the probability of label 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = net.table()
         for batch in slices(batches, 1 << 20):
-            every, counts = chunks_of(utf8(batch.column(1)))
-            pooled = np.concatenate(
-                [net.pooled(every[i : i + 64], table) for i in range(0, len(every), 64)]
-            )
-            p = 1 / (1 + np.exp(-net.logits(pooled, counts).astype(np.float64)))
+            p = probabilities(net, table, utf8(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], ["doc_id", "score"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id bigint, score double")

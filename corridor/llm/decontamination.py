@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corridor.llm.stored import small_side, stored
+
 WINDOW = 10
 #: Largest hash set, in bytes of its windows, that may travel to every executor.
 BROADCAST_BYTES = 64 << 20
@@ -135,13 +137,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any hit, all columns kept. A null ``doc_id`` has no hits to match."""
-    hit = (
+    hit = stored(
         find_hits(docs, benchmark, window)
         .where(F.size("hits") > 0)
         .select(F.col("doc_id").alias("_hit"))
-        .distinct()
+        .distinct(),
+        "hits",
     )
-    return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
+    return docs.join(small_side(hit), F.col("doc_id") == F.col("_hit"), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -335,6 +335,29 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents without near copies: of each component the smallest ``doc_id`` stays.
+
+    Rows with the same ``doc_id`` and text count as one. All columns are kept.
+    """
+    found = stored(jaccard_components(docs), "components")
+    away = stored(
+        found.where(F.col("doc_id") != F.col("component_id"))
+        .select(F.col("doc_id").alias("_away"))
+        .distinct(),
+        "away",
+    )
+    again = stored(
+        found.groupBy(F.col("doc_id").alias("_again")).count().where("count > 1"), "again"
+    )
+    kept = docs.join(small_side(away), F.col("doc_id") == F.col("_away"), "left_anti")
+    repeated = F.col("doc_id") == F.col("_again")
+    again = small_side(again)
+    return kept.join(again, repeated, "left_anti").unionByName(
+        kept.join(again, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
+    )
+
+
 ORACLE = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(

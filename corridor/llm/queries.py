@@ -11,6 +11,7 @@ from corridor.llm import (
     byte_cnn,
     decontamination,
     partenum,
+    quotes,
     rule_ledger,
     secrets,
     toxic_segments,
@@ -22,6 +23,10 @@ from corridor.llm.prefix_tokens import count_tokens
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quotes": op1_quotes,
     "op2_packing": op2_packing,
     "op3_prefix_tokens": op3_prefix_tokens,
     "op4_entropy_secrets": op4_entropy_secrets,
@@ -76,6 +82,7 @@ QUERIES: dict[str, Query] = {
 
 #: SQL that DuckDB runs on the same tables, where SQL can express the query.
 ORACLE_SQL: dict[str, str] = {
+    "op1_quotes": quotes.ORACLE,
     "op4_entropy_secrets": secrets.oracle(),
     "op8_decontamination": decontamination.ORACLE,
     "op9_partenum": partenum.ORACLE,

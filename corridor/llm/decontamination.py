@@ -144,7 +144,8 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
         .distinct(),
         "hits",
     )
-    return docs.join(small_side(hit), F.col("doc_id") == F.col("_hit"), "left_anti")
+    hit = small_side(hit)
+    return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -152,24 +153,26 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
 
     Each cut leaves one line feed. Documents with the same ``doc_id`` share their cuts.
     """
-    hits = (
+    hits = stored(
         find_hits(docs, benchmark, window)
         .where(F.size("hits") > 0)
         .groupBy(F.col("doc_id").alias("_hit"))
-        .agg(F.array_distinct(F.flatten(F.collect_set(hit_words(F.col("hits"))))).alias("_cut"))
+        .agg(F.array_distinct(F.flatten(F.collect_set(hit_words(F.col("hits"))))).alias("_cut")),
+        "hits",
     )
+    places = hits["_cut"]
     parts, gaps = F.split("text", _NO_WORD), F.regexp_extract_all("text", F.lit(_NO_WORD), F.lit(0))
     lead = F.when(F.element_at(parts, 1) == "", 0).otherwise(1)
     pieces = F.transform(
         parts,
-        lambda part, i: F.when(F.array_contains("_cut", i + lead), "\n").otherwise(
+        lambda part, i: F.when(F.array_contains(places, i + lead), "\n").otherwise(
             F.concat(part, F.coalesce(F.get(gaps, i), F.lit("")))
         ),
     )
     cut = F.regexp_replace(F.array_join(pieces, ""), r"\n{2,}", "\n")
     return docs.join(hits, docs["doc_id"] == hits["_hit"], "left").select(
         *(
-            F.when(F.col("_cut").isNull(), F.col("text")).otherwise(cut).alias("text")
+            F.when(places.isNull(), F.col("text")).otherwise(cut).alias("text")
             if c == "text"
             else docs[c]
             for c in docs.columns

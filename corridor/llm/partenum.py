@@ -16,11 +16,14 @@ come at the very end and are only used by sets with too few others.
 Sets whose sizes differ too much never meet: bands have a ratio of 8, and a set close
 above the lower end of its band also signs for the band below.
 
-Equal sets are one class from the start. Candidates are first the pairs of each class
-with one leader, its best partner by shared signatures; verified pairs give components.
-Then only pairs whose components still differ are compared, after an exact lower bound
-of their difference from counts in 64 buckets. Verification counts shared shingles of
-the whole texts (64-bit hashes).
+Equal sets are one class from the start. Classes that share a signature are first
+compared with leaders of the group only: those with most signatures in common with others
+(copies with few changes of their own), then some drawn by hash, each class with the few
+leaders it shares most signatures with. Verified pairs give components, and only pairs
+whose components still differ are compared at last. Before texts are read, two exact lower
+bounds of the difference drop pairs: counts of shingles in 64 buckets, and the parities of
+their numbers in 512. Verification counts shared shingles of the whole texts (64-bit
+hashes).
 
 Null and empty texts have no shingles and are alone. Texts of fewer words than a shingle
 are one shingle. Repeated rows fall into the same class. Other columns are not read.
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -41,7 +44,9 @@ from corridor.llm.stored import components, small_side, stored
 
 SHINGLE = 5
 BAND = 8
-BUCKETS = 64
+BUCKETS, PARITIES = 64, 512
+#: Leaders drawn by hash in the second round, and leaders a class is compared with.
+DRAWN, PARTNERS = 4, (2, 4)
 #: Bits of the map of common shingles.
 COMMON_BITS = 1 << 23
 #: Shingles a task looks at before it reports the common ones among them, and how often
@@ -121,38 +126,45 @@ def _features(docs: DataFrame) -> DataFrame:
             values = values[counts >= COMMON_COUNT] % np.uint64(COMMON_BITS)
             return np.unique(values).astype(np.int32).tolist()
 
-        def out(ids, sizes, names, buckets, listed) -> pa.RecordBatch:
+        def out(ids, sizes, names, buckets, parities, listed) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.int64()),
-                    pa.array(buckets, pa.list_(pa.int16())),
+                    pa.array(buckets, pa.list_(pa.int8())),
+                    pa.array(parities, pa.list_(pa.int64())),
                     pa.array(listed, pa.list_(pa.int32())),
                 ],
-                ["doc_id", "n_shingles", "set_id", "buckets", "common"],
+                ["doc_id", "n_shingles", "set_id", "buckets", "parities", "common"],
             )
 
         for batch in slices(batches):
-            sizes, names, buckets = [], [], []
+            sizes, names, buckets, parities = [], [], [], []
             for text in utf8(batch.column(1)):
                 found = shingles(text, hashes)
                 sizes.append(len(found))
                 names.append(set_id(found) if len(found) else None)
                 counts = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=BUCKETS)
-                buckets.append(np.minimum(counts, 32767).astype(np.int16))
+                buckets.append(np.minimum(counts, 127).astype(np.int8))
+                odd = np.bincount(
+                    ((found >> np.uint64(40)) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES
+                )
+                parities.append(np.packbits((odd & 1).astype(bool)).view(np.int64))
                 waiting.append(found)
                 n_waiting += len(found)
-            yield out(batch.column(0).to_pylist(), sizes, names, buckets, [None] * len(sizes))
+            ids = batch.column(0).to_pylist()
+            yield out(ids, sizes, names, buckets, parities, [None] * len(sizes))
             if n_waiting >= COMMON_WINDOW:
-                yield out([None], [None], [None], [None], [common()])
+                yield out([None], [None], [None], [None], [None], [common()])
                 waiting, n_waiting = [], 0
         if waiting:
-            yield out([None], [None], [None], [None], [common()])
+            yield out([None], [None], [None], [None], [None], [common()])
 
     return id_and_text(docs).mapInArrow(
         run,
-        "doc_id bigint, n_shingles bigint, set_id bigint, buckets array<smallint>, common array<int>",
+        "doc_id bigint, n_shingles bigint, set_id bigint, buckets array<tinyint>,"
+        " parities array<bigint>, common array<int>",
     )
 
 
@@ -205,14 +217,17 @@ def _signed(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Those of the stored ``pairs`` (a, b) of set ids that are linked."""
-    side = classes.select("set_id", "size", "doc", "buckets")
+    side = classes.select("set_id", "size", "doc", "buckets", "parities")
     a, b = (
         side.select(*(F.col(c).alias(f"{c}_{x}") for c in side.columns)) for x in "ab"
     )
-    apart = F.aggregate(
-        F.zip_with("buckets_a", "buckets_b", lambda x, y: F.abs(x.cast("int") - y.cast("int"))),
-        F.lit(0),
-        lambda total, x: total + x,
+    def summed(name: str, differ) -> Column:
+        each = F.zip_with(f"{name}_a", f"{name}_b", differ)
+        return F.aggregate(each, F.lit(0), lambda total, x: total + x)
+
+    apart = F.greatest(
+        summed("buckets", lambda x, y: F.abs(x.cast("int") - y.cast("int"))),
+        summed("parities", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")),
     )
     close = stored(
         pairs.join(a, F.col("a") == F.col("set_id_a"))
@@ -267,6 +282,40 @@ def _sizes_fit(a: str, b: str) -> Column:
     return (4 * F.col(a) >= 3 * F.col(b)) & (4 * F.col(b) >= 3 * F.col(a))
 
 
+def _same() -> WindowSpec:
+    return Window.partitionBy("signature")
+
+
+def _open_groups(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """Members, with their components, of the groups that have more than one component."""
+    return (
+        groups.join(small_side(found), F.col("set_id") == F.col("node"), "left")
+        .select("signature", "set_id", "size", F.coalesce("component", "set_id").alias("component"))
+        .withColumns({"low": F.min("component").over(_same()), "high": F.max("component").over(_same())})
+        .where(F.col("low") != F.col("high"))
+        .drop("low", "high")
+    )
+
+
+def _with_leaders(groups: DataFrame, orders: list[Column], partners: int) -> DataFrame:
+    """Pairs (a, b) of each set with the leaders of its groups it shares most groups with.
+
+    A group has one leader for each order, the member that has the largest value.
+    """
+    tops = [F.max(F.struct(o.alias("o"), "set_id", "component")).over(_same()) for o in orders]
+    ranked = Window.partitionBy("a").orderBy(F.desc("n"), "b")
+    return (
+        groups.withColumn("tops", F.array(*tops))
+        .select("set_id", "component", F.explode("tops").alias("top"))
+        .where(F.col("component") != F.col("top.component"))
+        .groupBy(F.col("set_id").alias("a"), F.col("top.set_id").alias("b"))
+        .agg(F.count("*").alias("n"))
+        .withColumn("rank", F.row_number().over(ranked))
+        .where(F.col("rank") <= partners)
+        .select("a", "b")
+    )
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """Per document ``n_shingles`` and ``component_id``, the smallest ``doc_id`` it is linked with."""
     docs = id_and_text(docs)
@@ -276,39 +325,33 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc"),
         F.min("n_shingles").cast("int").alias("size"),
         F.min("buckets").alias("buckets"),
+        F.min("parities").alias("parities"),
     )
     classes = stored(classes, "classes")
     signed = _signed(docs, _bit_map(features))
-    least, largest = (f(F.col("set_id")) for f in (F.min, F.max))
-    same = Window.partitionBy("signature")
     groups = stored(
-        signed.withColumns({"leader": least.over(same), "last": largest.over(same)})
-        .where(F.col("leader") != F.col("last"))
-        .select("signature", "set_id", "size", "leader"),
-        "groups",
-    )
-    best = (
-        groups.where(F.col("set_id") != F.col("leader"))
-        .groupBy("set_id", "leader")
-        .count()
-        .groupBy("set_id")
-        .agg(F.max(F.struct("count", "leader")).alias("best"))
-        .select(F.col("set_id").alias("a"), F.col("best.leader").alias("b"))
-    )
-    first = stored(_verified(docs, stored(best, "pairs"), classes), "linked")
-    found = stored(components(first), "components")
-    named = groups.select("signature", "set_id", "size").join(
-        small_side(found), F.col("set_id") == F.col("node"), "left"
-    ).select("signature", "set_id", "size", F.coalesce("component", "set_id").alias("component"))
-    mixed_groups = stored(
-        named.withColumns(
-            {"low": F.min("component").over(same), "high": F.max("component").over(same)}
+        signed.withColumns(
+            {"low": F.min("set_id").over(_same()), "high": F.max("set_id").over(_same())}
         )
         .where(F.col("low") != F.col("high"))
-        .drop("low", "high")
+        .select("signature", "set_id", "size")
         .distinct(),
-        "open",
+        "groups",
+    )
+    weights = stored(
+        groups.groupBy(F.col("set_id").alias("_set")).agg(F.count("*").alias("weight")), "weights"
+    )
+    weighed = groups.join(small_side(weights), F.col("set_id") == F.col("_set")).select(
+        "signature", "set_id", F.col("set_id").alias("component"), "weight"
     )
+    best = stored(_with_leaders(weighed, [F.col("weight")], PARTNERS[0]), "pairs")
+    linked = stored(_verified(docs, best, classes), "linked")
+    found = stored(components(linked), "components")
+    drawn = [F.xxhash64("set_id", F.lit(i)) for i in range(DRAWN)]
+    best = stored(_with_leaders(_open_groups(groups, found), drawn, PARTNERS[1]), "pairs")
+    linked = linked.union(stored(_verified(docs, best, classes), "linked"))
+    found = stored(components(linked), "components")
+    mixed_groups = stored(_open_groups(groups, found), "open")
     x, y = (
         mixed_groups.select("signature", *(F.col(c).alias(f"{c}_{s}") for c in ("set_id", "size", "component")))
         for s in "xy"
@@ -319,8 +362,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .select(F.col("set_id_x").alias("a"), F.col("set_id_y").alias("b"))
         .distinct()
     )
-    second = stored(_verified(docs, stored(across, "across"), classes), "linked")
-    found = stored(components(first.union(second)), "components")
+    linked = linked.union(stored(_verified(docs, stored(across, "across"), classes), "linked"))
+    found = stored(components(linked), "components")
     placed = classes.join(found, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "doc", F.coalesce("component", "set_id").alias("component")
     )
@@ -350,9 +393,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     again = stored(
         found.groupBy(F.col("doc_id").alias("_again")).count().where("count > 1"), "again"
     )
-    kept = docs.join(small_side(away), F.col("doc_id") == F.col("_away"), "left_anti")
-    repeated = F.col("doc_id") == F.col("_again")
-    again = small_side(again)
+    away, again = small_side(away), small_side(again)
+    kept = docs.join(away, docs["doc_id"] == away["_away"], "left_anti")
+    repeated = docs["doc_id"] == again["_again"]
     return kept.join(again, repeated, "left_anti").unionByName(
         kept.join(again, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
     )

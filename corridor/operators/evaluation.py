@@ -11,14 +11,12 @@ from corridor.config import DEFAULT, CorridorConfig
 from corridor.functions.policy import known
 from corridor.functions.rewards import step_reward
 from corridor.operators.lookup import attach_by_key
-from corridor.operators.ordering import MAX_GROUP_ROWS, number_rows
+from corridor.operators.ordering import number_rows
 
 METRICS = ("reward", "final_adherence_sec", "avg_speed_mph")
 
 
-def step_rewards(
-    silver: DataFrame, cfg: CorridorConfig = DEFAULT, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def step_rewards(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     """Per event: step number of its train, previous speed and reward.
 
     The first event of a train has no braking cost. Unknown adherence counts as 0.
@@ -32,9 +30,7 @@ def step_rewards(
         "current_speed_mph",
         "schedule_adherence_sec",
     )
-    numbered = number_rows(
-        steps, cfg.keys, ["event_time", "event_id"], ["current_speed_mph"], max_group_rows
-    )
+    numbered = number_rows(steps, cfg.keys, ["event_time", "event_id"], ["current_speed_mph"])
     previous = F.coalesce("prev_current_speed_mph", speed)
     return (
         numbered.withColumn("prev_speed_mph", previous)
@@ -59,8 +55,8 @@ def with_episodes(steps: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     length = F.lit(cfg.episode_steps)
     return steps.withColumns(
         {
-            "episode_no": F.floor(zero_based / length).cast("int"),
-            "episode_step": (zero_based % length + 1).cast("int"),
+            "episode_no": F.floor(zero_based / length).cast("bigint"),
+            "episode_step": (zero_based % length + 1).cast("bigint"),
         }
     )
 
@@ -132,7 +128,6 @@ def histogram(
     by: str = "policy",
     metrics: Sequence[str] = METRICS,
     bins: int = 20,
-    spread_by: Sequence[str] = ("train_id", "episode_no"),
 ) -> DataFrame:
     """Equal-width bins per label and metric over that group's own range.
 
@@ -148,13 +143,10 @@ def histogram(
         ).alias(m)
         for m in metrics
     ]
-    per_label = episodes.groupBy(by).agg(F.count("*").alias("n_rows"), *wide)
+    per_label = episodes.groupBy(by).agg(*wide)
     ranges = {m: f"_range_{m}" for m in metrics}
     ranged = attach_by_key(
-        episodes.select(by, *spread_by, *metrics),
-        per_label.withColumnsRenamed(ranges),
-        [by],
-        spread_by,
+        episodes.select(by, *metrics), per_label.withColumnsRenamed(ranges), [by]
     )
 
     def edged(df: DataFrame) -> DataFrame:

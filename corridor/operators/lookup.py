@@ -1,61 +1,24 @@
-"""Bring per-key values back to the rows without sending a hot key to one task."""
+"""Bring per-key values back to the rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Only this many keys, those with the most rows, may travel by broadcast. Any key
-# with more than 1/HOT_KEYS of all rows is one of them, whatever the data.
-HOT_KEYS = 1000
-# A key below this size never needs it.
-HOT_ROWS = 100_000
-SPREAD = 1024
 
+def attach_by_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of ``rows`` to ``per_key``, which has one row per ``keys``; null keys match.
 
-def _same(rows: DataFrame, keys: Sequence[str], other: DataFrame) -> Column:
-    """Null-safe match of ``keys`` with the renamed key columns of ``other``."""
-    return reduce(
-        lambda a, b: a & b, (rows[k].eqNullSafe(other[f"_key_{k}"]) for k in keys)
-    )
-
-
-def attach_by_key(
-    rows: DataFrame,
-    per_key: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Left join of ``rows`` to ``per_key``, which has one row per ``keys``.
-
-    ``per_key`` counts its rows in ``n_rows``. Values of the hottest keys travel
-    by broadcast, at most ``HOT_KEYS`` of them; their rows are spread over
-    ``SPREAD`` buckets of ``spread_by``, so the equi join that serves all other
-    keys stays balanced. Every row takes one of the two ways; none is dropped.
+    One equi join for every key, whatever its size. The side of the rows is the one
+    that is kept, so adaptive execution may split a partition that a hot key makes
+    large, and repeats only that key's single row.
     """
-    values = [c for c in per_key.columns if c not in keys and c != "n_rows"]
-    renamed = [F.col(k).alias(f"_key_{k}") for k in keys]
-    value = F.struct(*values)
-    hot = (
-        per_key.where(F.col("n_rows") > hot_rows)
-        .orderBy(F.desc("n_rows"))
-        .limit(HOT_KEYS)
-        .select(*renamed, value.alias("_hot"))
-    )
-    bucket = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)) + 1
-    tagged = (
-        rows.join(F.broadcast(hot), _same(rows, keys, hot), "left")
-        .withColumn("_bucket", F.when(F.col("_hot").isNull(), 0).otherwise(bucket))
-        .drop(*(f"_key_{k}" for k in keys))
-    )
-    cold = per_key.select(
-        *renamed, F.lit(0).cast("long").alias("_cold_bucket"), value.alias("_cold")
+    values = [c for c in per_key.columns if c not in keys]
+    named = per_key.select(*(F.col(k).alias(f"_key_{k}") for k in keys), *values)
+    same = reduce(
+        lambda a, b: a & b, (rows[k].eqNullSafe(named[f"_key_{k}"]) for k in keys)
     )
-    found = F.coalesce("_hot", "_cold")
-    return tagged.join(
-        cold, _same(tagged, keys, cold) & (tagged["_bucket"] == cold["_cold_bucket"]), "left"
-    ).select(*(tagged[c] for c in rows.columns), *(found[c].alias(c) for c in values))
+    return rows.join(named, same, "left").select(*rows.columns, *values)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corridor.config import DEFAULT, CorridorConfig
 from corridor.functions.ring import block_name, ring
-from corridor.operators.lookup import HOT_ROWS, attach_by_key
+from corridor.operators.lookup import attach_by_key
 
 LOOKAHEAD = 2
 WORD_BITS = 64
@@ -35,7 +35,7 @@ def _words(cfg: CorridorConfig) -> range:
     return range(-(-cfg.n_blocks // WORD_BITS))
 
 
-def _with_occupied(snapshot: DataFrame, cfg: CorridorConfig, hot_rows: int) -> DataFrame:
+def _with_occupied(snapshot: DataFrame, cfg: CorridorConfig) -> DataFrame:
     """Add the occupied blocks of each row's snapshot as bits: fixed size, hash aggregated."""
     idx = F.col("block_idx")
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(idx, F.lit(WORD_BITS)))
@@ -48,9 +48,8 @@ def _with_occupied(snapshot: DataFrame, cfg: CorridorConfig, hot_rows: int) -> D
             ).alias(f"_word_{w}")
             for w in _words(cfg)
         ),
-        F.count("*").alias("n_rows"),
     )
-    return attach_by_key(snapshot, per_snapshot, cfg.snapshot_keys, ["train_id"], hot_rows)
+    return attach_by_key(snapshot, per_snapshot, cfg.snapshot_keys)
 
 
 def _is_occupied(k: int, cfg: CorridorConfig) -> Column:
@@ -67,49 +66,42 @@ def _drop_occupied(df: DataFrame, cfg: CorridorConfig) -> DataFrame:
     return df.drop(*(f"_word_{w}" for w in _words(cfg)))
 
 
-def derive_signals(
-    snapshot: DataFrame, cfg: CorridorConfig = DEFAULT, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def derive_signals(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     """Add ``derived_aspect``: stop before an occupied block, approach one block earlier."""
     aspect = (
         F.when(_is_occupied(1, cfg), "stop")
         .when(_is_occupied(2, cfg), "approach")
         .otherwise("clear")
     )
-    known = _with_occupied(snapshot, cfg, hot_rows)
+    known = _with_occupied(snapshot, cfg)
     return _drop_occupied(known.withColumn("derived_aspect", aspect), cfg)
 
 
-def blocks_ahead_count(
-    snapshot: DataFrame, cfg: CorridorConfig = DEFAULT, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def blocks_ahead_count(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     """Add ``n_ahead``: how many of the next two blocks are occupied."""
     count = sum(_is_occupied(k, cfg).cast("int") for k in range(1, LOOKAHEAD + 1))
-    known = _with_occupied(snapshot, cfg, hot_rows)
+    known = _with_occupied(snapshot, cfg)
     return _drop_occupied(known.withColumn("n_ahead", count), cfg)
 
 
-def next_block_free(
-    snapshot: DataFrame, cfg: CorridorConfig = DEFAULT, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def next_block_free(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     """The trains that may advance: nobody stands in their next block."""
-    known = _with_occupied(snapshot, cfg, hot_rows)
+    known = _with_occupied(snapshot, cfg)
     return _drop_occupied(known.where(~_is_occupied(1, cfg)), cfg)
 
 
-def _with_holders(snapshot: DataFrame, cfg: CorridorConfig, hot_rows: int) -> DataFrame:
+def _with_holders(snapshot: DataFrame, cfg: CorridorConfig) -> DataFrame:
     """Add ``holders``, a map from occupied block to its train (the last id wins)."""
     per_block = (
         snapshot.where(_on_corridor(cfg))
         .groupBy(*cfg.snapshot_keys, "block_idx")
-        .agg(F.max("train_id").alias("holder"), F.count("*").alias("n_rows"))
+        .agg(F.max("train_id").alias("holder"))
     )
     # At most n_blocks entries per snapshot.
     per_snapshot = per_block.groupBy(*cfg.snapshot_keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("block_idx", "holder"))).alias("holders"),
-        F.sum("n_rows").alias("n_rows"),
+        F.map_from_entries(F.collect_list(F.struct("block_idx", "holder"))).alias("holders")
     )
-    return attach_by_key(snapshot, per_snapshot, cfg.snapshot_keys, ["train_id"], hot_rows)
+    return attach_by_key(snapshot, per_snapshot, cfg.snapshot_keys)
 
 
 def blocks_ahead(
@@ -117,7 +109,6 @@ def blocks_ahead(
     cfg: CorridorConfig = DEFAULT,
     depth: int = LOOKAHEAD,
     wrap: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per train and occupied block within ``depth``, the train itself excluded.
 
@@ -135,7 +126,7 @@ def blocks_ahead(
         )
 
     return (
-        _with_holders(snapshot, cfg, hot_rows)
+        _with_holders(snapshot, cfg)
         .select(
             *cfg.snapshot_keys,
             "train_id",
@@ -148,14 +139,15 @@ def blocks_ahead(
 
 
 def shockwave_cascade(
-    gold: DataFrame, cfg: CorridorConfig = DEFAULT, sec_per_block: float = 60.0
+    gold: DataFrame, cfg: CorridorConfig = DEFAULT, sec_per_block: float = 60.0, ahead: int = 1
 ) -> DataFrame:
-    """Delay handed to the follower of a stopped train, per snapshot.
+    """Delay handed to the followers of a stopped train, per snapshot, around the ring.
 
-    ``gap * (speed lost by the leader / line speed)``, the gap being the blocks
-    to the leader times ``sec_per_block``. Each occupied block is represented by
-    the train with the last id, so a snapshot has at most ``n_blocks`` rows when
-    it is put in block order.
+    ``gap * (speed lost by the leader / line speed)``, the gap being the blocks to the
+    leader times ``sec_per_block``. Each row looks at the ``ahead`` trains in front of it
+    and takes the largest delay; ``lead_train`` is the one directly in front (null for a
+    train alone). Each occupied block is represented by the train with the last id, so a
+    snapshot has at most ``n_blocks`` rows when it is put in block order.
     """
     state = F.struct("train_id", "speed_mph", "signal_aspect")
     per_block = (
@@ -164,22 +156,33 @@ def shockwave_cascade(
         .agg(F.max(state).alias("state"))
         .select(*cfg.snapshot_keys, "block_idx", "state.*")
     )
-    in_order = Window.partitionBy(*cfg.snapshot_keys).orderBy("block_idx")
+    whole = Window.partitionBy(*cfg.snapshot_keys)
+    in_order = F.array_sort(
+        F.collect_list(F.struct("block_idx", "train_id", "speed_mph", "signal_aspect")).over(whole)
+    )
     limit = F.lit(float(cfg.max_speed_mph))
-    headway = (F.col("lead_block_idx") - F.col("block_idx")) * F.lit(sec_per_block)
-    cascade = headway * ((limit - F.col("lead_speed")) / limit)
-    return (
-        per_block.withColumns(
-            {
-                "lead_train": F.lead("train_id").over(in_order),
-                "lead_block_idx": F.lead("block_idx").over(in_order),
-                "lead_speed": F.lead("speed_mph").over(in_order),
-                "lead_aspect": F.lead("signal_aspect").over(in_order),
-            }
-        )
-        .withColumn(
-            "cascade_delay_sec",
-            F.when(F.col("lead_aspect") == "stop", cascade).otherwise(F.lit(0.0)),
-        )
-        .select(*cfg.snapshot_keys, "block_idx", "train_id", "lead_train", "cascade_delay_sec")
+    placed = per_block.withColumn("_ring", in_order)
+    place = F.array_position(
+        F.transform("_ring", lambda t: t["block_idx"]), F.col("block_idx")
+    ).cast("int")
+    size = F.size("_ring")
+    leaders = []
+    for k in range(1, ahead + 1):
+        lead = F.element_at("_ring", F.pmod(place - 1 + k, size) + 1)
+        leaders.append(F.when(size > k, lead))
+
+    def delay(lead: Column) -> Column:
+        blocks = F.pmod(lead["block_idx"] - F.col("block_idx"), F.lit(cfg.n_blocks))
+        lost = (limit - lead["speed_mph"]) / limit
+        return F.when(
+            lead["signal_aspect"] == "stop", blocks * F.lit(sec_per_block) * lost
+        ).otherwise(F.lit(0.0))
+
+    delays = [delay(lead) for lead in leaders]
+    return placed.select(
+        *cfg.snapshot_keys,
+        "block_idx",
+        "train_id",
+        leaders[0]["train_id"].alias("lead_train"),
+        (delays[0] if ahead == 1 else F.greatest(*delays)).alias("cascade_delay_sec"),
     )

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corridor.session import new_path
+# Seconds of event time in one bucket.
+BUCKET_SECONDS = 3600
 
-# Largest group a single window task may be asked to hold.
-MAX_GROUP_ROWS = 2_000_000
-_RUN_BITS = 33
+
+def time_bucket(name: str, seconds: int = BUCKET_SECONDS) -> Column:
+    """Number of the time range a timestamp lies in; null for null."""
+    return F.floor(F.unix_micros(F.col(name)) / F.lit(seconds * 1_000_000))
 
 
 def number_rows(
@@ -19,66 +22,42 @@ def number_rows(
     keys: Sequence[str],
     order: Sequence[str],
     carry: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Add ``row_no`` (from 1) and ``prev_<c>`` per key, in ``order``.
 
-    ``keys`` plus ``order`` must be unique. The largest group is measured first:
-    a plain window serves small groups, a range-partitioned sort any other.
-    """
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= max_group_rows:
-        per_key = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns(
-            {"row_no": F.row_number().over(per_key)}
-            | {f"prev_{c}": F.lag(c).over(per_key) for c in carry}
-        )
-    return _number_by_range(df, keys, order, carry)
-
-
-def _number_by_range(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str]
-) -> DataFrame:
-    """Number rows inside each range of a global sort, then add what came before.
-
-    The sort spreads one key over as many tasks as its rows need. Written out
-    with their position, the rows keep their range when tasks are repeated. A
-    range boundary cuts at most one key, so the corrections number fewer rows
-    than there are ranges and can be broadcast.
+    ``keys`` plus ``order`` must be unique. ``bucket`` never falls along ``order``; by
+    default it is the hour of the first column. Rows are numbered inside each bucket,
+    so the rows of one key are spread over as many groups as it has buckets; what came
+    before is added from one small row per bucket. Null keys are one key.
     """
-    spark = df.sparkSession
-    path = new_path(spark, "ordered")
-    df.orderBy(*keys, *order).withColumn("_pos", F.monotonically_increasing_id()).write.parquet(
-        path
-    )
-    placed = spark.read.parquet(path).withColumn(
-        "_range", F.shiftright(F.col("_pos"), _RUN_BITS)
-    )
-    per_range = placed.groupBy(*keys, "_range").agg(
+    placed = df.withColumn("_bucket", time_bucket(order[0]) if bucket is None else bucket)
+    per_bucket = placed.groupBy(*keys, "_bucket").agg(
         F.count("*").alias("_n"),
-        F.max_by(F.struct(F.lit(1).alias("_one"), *carry), "_pos").alias("_last"),
+        F.max_by(F.struct(F.lit(1).alias("_one"), *carry), F.struct(*order)).alias("_last"),
     )
-    along = Window.partitionBy(*keys).orderBy("_range")
+    along = Window.partitionBy(*keys).orderBy("_bucket")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    cut = per_range.select(
-        *keys,
-        "_range",
-        F.sum("_n").over(earlier).alias("_before"),
+    before = per_bucket.select(
+        *(F.col(k).alias(f"_key_{k}") for k in (*keys, "_bucket")),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         F.lag("_last").over(along).alias("_carried"),
-    ).where(F.col("_before").isNotNull())
-    inside = Window.partitionBy(*keys, "_range").orderBy("_pos")
+    )
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     local = placed.withColumns(
         {"_no": F.row_number().over(inside)}
         | {f"_prev_{c}": F.lag(c).over(inside) for c in carry}
     )
-    first_of_range = F.col("_no") == 1
-    return local.join(F.broadcast(cut), [*keys, "_range"], "left").select(
+    same = reduce(
+        lambda a, b: a & b,
+        (local[k].eqNullSafe(before[f"_key_{k}"]) for k in (*keys, "_bucket")),
+    )
+    first = F.col("_no") == 1
+    return local.join(before, same).select(
         *df.columns,
-        (F.col("_no") + F.coalesce("_before", F.lit(0))).cast("int").alias("row_no"),
+        (F.col("_no") + F.col("_before")).alias("row_no"),
         *(
-            F.when(first_of_range, F.col("_carried")[c])
-            .otherwise(F.col(f"_prev_{c}"))
-            .alias(f"prev_{c}")
+            F.when(first, F.col("_carried")[c]).otherwise(F.col(f"_prev_{c}")).alias(f"prev_{c}")
             for c in carry
         ),
     )

@@ -105,7 +105,7 @@ class Layers:
     @cached_property
     def episodes(self) -> DataFrame:
         """Complete episodes; trains with an odd number form the base policy."""
-        number = F.substring("train_id", 3, 8).cast("int")
+        number = F.expr("substring(train_id, 3)").cast("bigint")
         return ev.episode_metrics(self.steps, self.cfg).withColumn(
             "policy", F.when(number % 2 == 1, "base").otherwise("candidate")
         )

@@ -19,21 +19,21 @@ OCCUPANCY_COLUMNS = f"window_start, window_end, train_id, {STATE_COLUMNS}"
 
 
 def _events(fleet: bool) -> str:
-    train = "'T_' || lpad((tr + 1)::VARCHAR, 3, '0')"
+    train = "'T_' || lpad((tr + 1)::VARCHAR, greatest(3, length((tr + 1)::VARCHAR))::INTEGER, '0')"
     subdivision = "'Harrisburg_Sub'"
     if fleet:
-        train = "'T_' || lpad((user_id + 1)::VARCHAR, 4, '0')"
-        subdivision = "'Sub_' || lpad((user_id % 30)::VARCHAR, 2, '0')"
+        train = "'T_' || lpad((user_id + 1)::VARCHAR, greatest(4, length((user_id + 1)::VARCHAR))::INTEGER, '0')"
+        subdivision = "'Sub_' || lpad((user_id % 30)::VARCHAR, greatest(2, length((user_id % 30)::VARCHAR))::INTEGER, '0')"
     return f"""
     SELECT n, tr, bi,
-      'E_' || lpad(n::VARCHAR, 12, '0') AS event_id,
+      'E_' || lpad(n::VARCHAR, greatest(12, length(n::VARCHAR))::INTEGER, '0') AS event_id,
       {START} + to_seconds(2 * tick - CASE WHEN n % 97 = 0 THEN 45 ELSE 0 END) AS true_time,
       CASE WHEN n % 59 <> 0 THEN true_time END AS event_time,
       CASE WHEN n % 59 = 0 THEN 'not-a-date'
            ELSE strftime(true_time, '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS timestamp_utc,
       CASE WHEN n % 47 <> 0 THEN {train} END AS train_id,
       CASE WHEN n % 67 = 0 THEN NULL WHEN n % 53 = 0 THEN 'B_021'
-           ELSE 'B_' || lpad((bi + 1)::VARCHAR, 3, '0') END AS block_id,
+           ELSE 'B_' || lpad((bi + 1)::VARCHAR, greatest(3, length((bi + 1)::VARCHAR))::INTEGER, '0') END AS block_id,
       (CASE WHEN n % 53 = 0 THEN 20 ELSE bi END)::INTEGER AS block_idx,
       {subdivision} AS subdivision,
       (CASE WHEN n % 73 = 0 THEN NULL WHEN n % 43 = 0 THEN 85.0::DOUBLE
@@ -47,8 +47,8 @@ def _events(fleet: bool) -> str:
            WHEN event_type IN ('purchase', 'signup') THEN 'approach'
            ELSE 'clear' END AS signal_aspect_ahead,
       (CASE WHEN n % 3 = 0 THEN 0 ELSE 1 END)::INTEGER AS n_blocks_ahead,
-      'B_' || lpad(((bi + 1) % 20 + 1)::VARCHAR, 3, '0') AS ahead_block_id,
-      'T_' || lpad(((tr + 1) % 5 + 1)::VARCHAR, 3, '0') AS occupying_train,
+      'B_' || lpad(((bi + 1) % 20 + 1)::VARCHAR, greatest(3, length(((bi + 1) % 20 + 1)::VARCHAR))::INTEGER, '0') AS ahead_block_id,
+      'T_' || lpad(((tr + 1) % 5 + 1)::VARCHAR, greatest(3, length(((tr + 1) % 5 + 1)::VARCHAR))::INTEGER, '0') AS occupying_train,
       (60 + n % 241)::FLOAT AS estimated_clearance_sec,
       (CASE WHEN n % 79 <> 0 THEN (n * 37) % 901 - 600 END)::FLOAT AS schedule_adherence_sec,
       (((n * 13) % 301 - 150)::DOUBLE / 100.0::DOUBLE)::FLOAT AS track_grade_pct
@@ -185,7 +185,7 @@ EPISODES = """
     SELECT train_id, episode_no, sum(reward) AS reward,
       arg_max(coalesce(schedule_adherence_sec::DOUBLE, 0), episode_step) AS final_adherence_sec,
       avg(current_speed_mph::DOUBLE) AS avg_speed_mph,
-      CASE WHEN substr(train_id, 3)::INTEGER % 2 = 1 THEN 'base' ELSE 'candidate' END AS policy
+      CASE WHEN substr(train_id, 3)::BIGINT % 2 = 1 THEN 'base' ELSE 'candidate' END AS policy
     FROM steps GROUP BY train_id, episode_no HAVING count(*) = 200"""
 
 METRICS = """
@@ -215,7 +215,7 @@ HOLDERS = """
     FROM occ GROUP BY window_start, block_idx"""
 
 BLOCKS = """
-    SELECT i::INTEGER AS block_idx, 'B_' || lpad((i + 1)::VARCHAR, 3, '0') AS block_id
+    SELECT i::INTEGER AS block_idx, 'B_' || lpad((i + 1)::VARCHAR, greatest(3, length((i + 1)::VARCHAR))::INTEGER, '0') AS block_id
     FROM range(20) t(i)"""
 
 # Name -> (tables it reads, SQL).
@@ -447,7 +447,7 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         ("holders",),
         """SELECT o.window_start, o.train_id, o.block_idx, ahead::INTEGER AS ahead,
           h.block_idx AS ahead_block_idx, h.holder AS occupying_train,
-          'B_' || lpad((h.block_idx + 1)::VARCHAR, 3, '0') AS ahead_block_id
+          'B_' || lpad((h.block_idx + 1)::VARCHAR, greatest(3, length((h.block_idx + 1)::VARCHAR))::INTEGER, '0') AS ahead_block_id
         FROM occ o CROSS JOIN (SELECT unnest([1, 2]) AS ahead)
         JOIN holders h ON h.window_start = o.window_start
           AND h.block_idx = o.block_idx + ahead
@@ -467,15 +467,23 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         ("gold", "holders"),
         """SELECT window_start, block_idx, train_id, lead_train,
           CASE WHEN lead_aspect = 'stop' THEN
-            ((lead_block_idx - block_idx)::DOUBLE * 60.0::DOUBLE)
+            ((lead_block_idx - block_idx + 20) % 20)::DOUBLE * 60.0::DOUBLE
               * ((79.0::DOUBLE - lead_speed::DOUBLE) / 79.0::DOUBLE)
             ELSE 0.0::DOUBLE END AS cascade_delay_sec
-        FROM (SELECT g.window_start, g.block_idx, g.train_id, lead(g.train_id) OVER w AS lead_train,
-            lead(g.block_idx) OVER w AS lead_block_idx, lead(speed_mph) OVER w AS lead_speed,
-            lead(signal_aspect) OVER w AS lead_aspect
-          FROM gold g JOIN holders h ON h.window_start = g.window_start
-            AND h.block_idx = g.block_idx AND h.holder = g.train_id
-          WINDOW w AS (PARTITION BY g.window_start ORDER BY g.block_idx))""",
+        FROM (SELECT window_start, block_idx, train_id,
+            CASE WHEN n > 1 THEN coalesce(next_state.train_id, first_state.train_id) END AS lead_train,
+            CASE WHEN n > 1 THEN coalesce(next_state.block_idx, first_state.block_idx) END AS lead_block_idx,
+            CASE WHEN n > 1 THEN coalesce(next_state.speed_mph, first_state.speed_mph) END AS lead_speed,
+            CASE WHEN n > 1 THEN coalesce(next_state.signal_aspect, first_state.signal_aspect) END AS lead_aspect
+          FROM (SELECT g.window_start, g.block_idx, g.train_id, count(*) OVER p AS n,
+              lead({'train_id': g.train_id, 'block_idx': g.block_idx, 'speed_mph': speed_mph,
+                'signal_aspect': signal_aspect}) OVER w AS next_state,
+              first_value({'train_id': g.train_id, 'block_idx': g.block_idx, 'speed_mph': speed_mph,
+                'signal_aspect': signal_aspect}) OVER w AS first_state
+            FROM gold g JOIN holders h ON h.window_start = g.window_start
+              AND h.block_idx = g.block_idx AND h.holder = g.train_id
+            WINDOW w AS (PARTITION BY g.window_start ORDER BY g.block_idx),
+              p AS (PARTITION BY g.window_start)))""",
     ),
     "latest_per_train": (("latest",), "SELECT * FROM latest"),
     "track_map": (
@@ -573,19 +581,19 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "step_rewards": (
         ("steps",),
-        "SELECT train_id, event_id, step::INTEGER AS step, prev_speed_mph, reward FROM steps",
+        "SELECT train_id, event_id, step::BIGINT AS step, prev_speed_mph, reward FROM steps",
     ),
     "running_reward": (
         ("steps",),
-        """SELECT train_id, event_id, episode_no::INTEGER AS episode_no,
-          episode_step::INTEGER AS episode_step, round(sum(reward) OVER (
+        """SELECT train_id, event_id, episode_no::BIGINT AS episode_no,
+          episode_step::BIGINT AS episode_step, round(sum(reward) OVER (
             PARTITION BY train_id, episode_no ORDER BY episode_step
             ROWS UNBOUNDED PRECEDING), 6) AS running_reward
         FROM steps""",
     ),
     "episode_metrics": (
         ("episodes",),
-        "SELECT train_id, episode_no::INTEGER AS episode_no, "
+        "SELECT train_id, episode_no::BIGINT AS episode_no, "
         + _rounded(["reward", "final_adherence_sec", "avg_speed_mph"])
         + " FROM episodes",
     ),

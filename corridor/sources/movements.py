@@ -40,21 +40,16 @@ def _has(fault: str) -> str:
 
 
 def _padded(prefix: str, number: str, width: int) -> str:
-    return f"concat('{prefix}', lpad(cast({number} as string), {width}, '0'))"
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores for an input with fewer splits than cores; leave any other alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The number with at least ``width`` digits; longer ones stay whole."""
+    digits = f"cast({number} as string)"
+    return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
 
 
 def train_events(spark: SparkSession, sf_dir: str, fleet: bool = False) -> DataFrame:
     """Typed train events plus the delivery columns ``n``, ``tick`` and ``tr``."""
     events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     placed = (
-        _spread(events)
-        .selectExpr(
+        events.selectExpr(
             "event_id as n",
             f"event_id div {TRAINS} as tick",
             f"cast(event_id % {TRAINS} as int) as tr",

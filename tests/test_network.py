@@ -55,14 +55,17 @@ def test_counts_and_free_blocks_agree_with_signals(layers):
 
 
 @pytest.mark.parametrize("op", ["derive_signals", "blocks_ahead_count", "blocks_ahead"])
-def test_hot_snapshots_give_the_same_rows(layers, op):
-    """A third of all rows in one snapshot; the broadcast path is forced."""
-    one = F.lit(datetime(2024, 1, 1, 0, 10))
-    hot = layers.occupancy.withColumn(
-        "window_start", F.when(F.xxhash64("window_start") % 3 == 0, one).otherwise(F.col("window_start"))
-    )
+def test_hot_and_null_snapshots_give_the_same_rows(layers, op):
+    """A third of all rows in one snapshot, some in none: other snapshots do not change."""
+    one = F.lit(datetime(2030, 1, 1))
+    start = F.col("window_start")
+    hot = layers.occupancy.withColumn("window_start", F.when(F.xxhash64(start) % 3 == 0, one).otherwise(start))
+    hot = hot.withColumn("window_start", F.when(F.minute("window_start") == 7, None).otherwise(F.col("window_start")))
     f = getattr(network, op)
-    assert rows(f(hot, hot_rows=1)) == rows(f(hot, hot_rows=10**9))
+    kept = (start != one) & start.isNotNull()
+    expected = f(hot.where(kept))
+    assert rows(f(hot).where(kept)) == rows(expected)
+    assert f(hot).where(start.isNull()).count() > 0
 
 
 def test_lookup_reads_the_snapshot_shuffle_once(layers):
@@ -81,3 +84,16 @@ def test_cascade(spark):
     )
     got = {r.train_id: r.cascade_delay_sec for r in network.shockwave_cascade(df, cfg).collect()}
     assert got == {"T_001": 120.0, "T_002": 0.0}
+
+
+def test_cascade_goes_round_the_ring(spark):
+    df = spark.createDataFrame(
+        [(T0, "T_001", 19, "clear", 60.0), (T0, "T_002", 0, "stop", 0.0), (T0, "T_003", 17, "clear", 60.0)],
+        "window_start timestamp, train_id string, block_idx int, signal_aspect string, speed_mph float",
+    )
+    near = {r.train_id: r.cascade_delay_sec for r in network.shockwave_cascade(df).collect()}
+    assert near == {"T_001": 60.0, "T_002": 0.0, "T_003": 0.0}
+    far = {r.train_id: r.cascade_delay_sec for r in network.shockwave_cascade(df, ahead=2).collect()}
+    assert far == {"T_001": 60.0, "T_002": 0.0, "T_003": 180.0}
+    alone = network.shockwave_cascade(df.where("train_id = 'T_002'")).first()
+    assert alone.lead_train is None and alone.cascade_delay_sec == 0.0

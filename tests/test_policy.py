@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from conftest import rows
 from onnx_file import mlp_bytes
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corridor.config import CorridorConfig
@@ -12,7 +13,8 @@ from corridor.functions import policy as P
 from corridor.functions.rewards import step_reward
 from corridor.operators import evaluation as ev
 from corridor.operators import scoring
-from corridor.operators.ordering import number_rows
+from corridor.operators.ordering import number_rows, time_bucket
+from corridor.sources.movements import EVENTS, train_events
 from corridor.plans.layers import example_network
 
 
@@ -83,22 +85,39 @@ def test_reward(spark):
     assert reward(spark, 0.0, 79.0, 79.0, "clear") == pytest.approx(0.1)
 
 
-def test_range_numbering_equals_plain_window(layers):
-    """One train holds a third of the rows; the range path is forced."""
+@pytest.mark.parametrize("seconds", [60, 3600, 10**9])
+def test_bucket_numbering_equals_plain_window(spark, layers, seconds):
+    """One train holds a third of the rows, some rows have no train; no small partitions merged."""
     hot = layers.silver.withColumn(
-        "train_id", F.when(F.xxhash64("event_id") % 3 == 0, "T_HOT").otherwise(F.col("train_id"))
+        "train_id",
+        F.when(F.xxhash64("event_id") % 3 == 0, "T_HOT")
+        .when(F.xxhash64("event_id") % 7 == 0, None)
+        .otherwise(F.col("train_id")),
     ).select("train_id", "event_time", "event_id", "current_speed_mph", "schedule_adherence_sec")
-    args = (["train_id"], ["event_time", "event_id"], ["current_speed_mph", "schedule_adherence_sec"])
-    plain, ranged = number_rows(hot, *args), number_rows(hot, *args, max_group_rows=0)
-    assert rows(plain) == rows(ranged)
-
-
-def test_episodes_through_range_numbering(layers):
-    def metrics(limit):
-        steps = ev.with_episodes(ev.step_rewards(layers.silver, max_group_rows=limit))
-        return ev.episode_metrics(steps).select("train_id", "episode_no", F.round("reward", 6))
-
-    assert rows(metrics(0)) == rows(metrics(10**9))
+    carry = ["current_speed_mph", "schedule_adherence_sec"]
+    w = Window.partitionBy("train_id").orderBy("event_time", "event_id")
+    plain = hot.withColumns(
+        {"row_no": F.row_number().over(w).cast("bigint")}
+        | {f"prev_{c}": F.lag(c).over(w) for c in carry}
+    )
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        got = number_rows(
+            hot, ["train_id"], ["event_time", "event_id"], carry, time_bucket("event_time", seconds)
+        )
+        assert rows(got) == rows(plain)
+    finally:
+        spark.conf.set(merging, "true")
+
+
+@pytest.mark.parametrize("user", [0, 999, 9999, 99999])
+def test_ids_are_never_cut(spark, tmp_path, user):
+    n = 10**12
+    events = spark.createDataFrame([(n + 1, user, "click", 5.0)], EVENTS)
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    row = train_events(spark, str(tmp_path), fleet=True).first()
+    assert row.train_id == f"T_{user + 1:04d}" and row.event_id == f"E_{n + 1:012d}"
 
 
 @pytest.mark.parametrize("values", [[1.0, 2.0, 2.5, 9.0], [3.0, 3.0], list(np.linspace(0, 1, 41))])

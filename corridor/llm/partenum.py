@@ -22,7 +22,7 @@ compared with leaders of the group only: those with most signatures in common wi
 leaders it shares most signatures with. Verified pairs give components, and only pairs
 whose components still differ are compared at last. Before texts are read, two exact lower
 bounds of the difference drop pairs: counts of shingles in 64 buckets, and the parities of
-their numbers in 512. Verification counts shared shingles of the whole texts (64-bit
+their numbers in 512; the last comparison has the parities in its join's condition. Verification counts shared shingles of the whole texts (64-bit
 hashes).
 
 Null and empty texts have no shingles and are alone. Texts of fewer words than a shingle
@@ -32,6 +32,8 @@ are one shingle. Repeated rows fall into the same class. Other columns are not r
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -316,6 +318,32 @@ def _with_leaders(groups: DataFrame, orders: list[Column], partners: int) -> Dat
     )
 
 
+def _across(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets in one group, of different components, that may be linked.
+
+    The parities are part of the join's condition, so a pair whose known difference is too
+    large for a link is no row, neither shuffled nor written.
+    """
+    odd = [f"odd{i}" for i in range(PARITIES // 64)]
+    known = classes.select("set_id", *(F.col("parities")[i].alias(c) for i, c in enumerate(odd)))
+    members = groups.join(known, "set_id")
+    x, y = (
+        members.select("signature", *(F.col(c).alias(f"{c}_{s}") for c in ("set_id", "size", "component", *odd)))
+        for s in "xy"
+    )
+    apart = reduce(add, (F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in odd))
+    return (
+        x.join(y, "signature")
+        .where(
+            (F.col("component_x") < F.col("component_y"))
+            & _sizes_fit("size_x", "size_y")
+            & (7 * apart <= F.col("size_x") + F.col("size_y"))
+        )
+        .select(F.col("set_id_x").alias("a"), F.col("set_id_y").alias("b"))
+        .distinct()
+    )
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """Per document ``n_shingles`` and ``component_id``, the smallest ``doc_id`` it is linked with."""
     docs = id_and_text(docs)
@@ -352,17 +380,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     linked = linked.union(stored(_verified(docs, best, classes), "linked"))
     found = stored(components(linked), "components")
     mixed_groups = stored(_open_groups(groups, found), "open")
-    x, y = (
-        mixed_groups.select("signature", *(F.col(c).alias(f"{c}_{s}") for c in ("set_id", "size", "component")))
-        for s in "xy"
-    )
-    across = (
-        x.join(y, "signature")
-        .where((F.col("component_x") < F.col("component_y")) & _sizes_fit("size_x", "size_y"))
-        .select(F.col("set_id_x").alias("a"), F.col("set_id_y").alias("b"))
-        .distinct()
-    )
-    linked = linked.union(stored(_verified(docs, stored(across, "across"), classes), "linked"))
+    across = stored(_across(mixed_groups, classes), "across")
+    linked = linked.union(stored(_verified(docs, across, classes), "linked"))
     found = stored(components(linked), "components")
     placed = classes.join(found, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "doc", F.coalesce("component", "set_id").alias("component")

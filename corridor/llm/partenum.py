@@ -55,6 +55,8 @@ COMMON_BITS = 1 << 23
 #: one must occur there.
 COMMON_WINDOW = 2_000_000
 COMMON_COUNT = 4
+#: Shingles of the sets a task remembers while it verifies pairs.
+KEPT = 4_000_000
 #: Set ids a task remembers so as not to sign for copies again.
 SEEN = 1_000_000
 
@@ -244,16 +246,21 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFram
     texts = docs.join(small_side(needed), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, kept = WordHashes(), {}
+        hashes, kept, n_kept = WordHashes(), {}, 0
 
-        def of(text: bytes, name: int) -> np.ndarray | None:
-            """The set of a text, unless another text has the same ``doc_id``."""
+        def of(text: str, name: int) -> np.ndarray | None:
+            """The set called ``name``, unless this text, with the same ``doc_id``, has another."""
+            nonlocal n_kept
             if name not in kept:
-                if len(kept) >= 64:
+                found = shingles(text.encode(), hashes)
+                if set_id(found) != name:
+                    return None
+                if n_kept + len(found) > KEPT:
                     kept.clear()
-                kept[name] = shingles(text, hashes)
-            found = kept[name]
-            return found if set_id(found) == name else None
+                    n_kept = 0
+                kept[name] = found
+                n_kept += len(found)
+            return kept[name]
 
         for batch in slices(batches):
             linked = []
@@ -261,9 +268,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFram
             for a_id, b_id, a_text, b_text in zip(
                 columns["a"], columns["b"], columns["text_a"], columns["text_b"], strict=True
             ):
-                x, y = of(b_text.encode(), b_id), shingles(a_text.encode(), hashes)
-                if x is None or set_id(y) != a_id:
-                    kept.pop(b_id, None)
+                x, y = of(b_text, b_id), of(a_text, a_id)
+                if x is None or y is None:
                     continue
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * shared >= 75 * (len(x) + len(y) - shared):

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corridor.llm import (
+    bisectors,
     brown,
     byte_cnn,
     decontamination,
@@ -15,6 +17,8 @@ from corridor.llm import (
     rule_ledger,
     secrets,
     toxic_segments,
+    va_file,
+    whitening,
 )
 from corridor.llm.batches import table
 from corridor.llm.packing import pack_documents
@@ -67,6 +71,19 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_bisectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return va_file.search(vectors, vectors.where(F.col("vec_id") % va_file.QUERY_EVERY == 0))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quotes": op1_quotes,
     "op2_packing": op2_packing,
@@ -78,6 +95,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_partenum": op9_partenum,
     "op10_rule_ledger": op10_rule_ledger,
+    "op11_bisectors": op11_bisectors,
+    "op12_va_file": op12_va_file,
+    "op13_whitening": op13_whitening,
 }
 
 #: SQL that DuckDB runs on the same tables, where SQL can express the query.
@@ -87,4 +107,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_decontamination": decontamination.ORACLE,
     "op9_partenum": partenum.ORACLE,
     "op10_rule_ledger": rule_ledger.ORACLE,
+    "op11_bisectors": bisectors.oracle(),
+    "op12_va_file": va_file.oracle(),
 }

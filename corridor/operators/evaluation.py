@@ -21,8 +21,13 @@ def step_rewards(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
 
     The first event of a train has no braking cost. Unknown adherence counts as 0.
     """
-    speed = F.col("current_speed_mph")
-    steps = silver.select(
+    order = ["event_time", "event_id"]
+    return rewarded(number_rows(step_columns(silver, cfg), cfg.keys, order, ["current_speed_mph"]), cfg)
+
+
+def step_columns(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
+    """What rewards need of the events."""
+    return silver.select(
         *cfg.keys,
         "event_time",
         "event_id",
@@ -30,7 +35,11 @@ def step_rewards(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
         "current_speed_mph",
         "schedule_adherence_sec",
     )
-    numbered = number_rows(steps, cfg.keys, ["event_time", "event_id"], ["current_speed_mph"])
+
+
+def rewarded(numbered: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
+    """Step number, previous speed and reward of events numbered per train."""
+    speed = F.col("current_speed_mph")
     previous = F.coalesce("prev_current_speed_mph", speed)
     return (
         numbered.withColumn("prev_speed_mph", previous)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corridor.config import DEFAULT, CorridorConfig
@@ -29,16 +29,21 @@ def validate_events(events: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFra
 
     A null in a checked column drops the row; a null adherence does not.
     """
+    stamped = with_event_time(events).withWatermark("event_time", f"{cfg.watermark_sec} seconds")
+    for rule in validity(cfg):
+        stamped = stamped.where(rule)
+    return stamped
+
+
+def validity(cfg: CorridorConfig = DEFAULT) -> list[Column]:
+    """What holds for a valid event that has its ``event_time``."""
     known = [F.col(c).isNotNull() for c in (*cfg.keys, "block_id", "event_time")]
     inside = [
         F.col("signal_aspect_ahead").isin(*cfg.aspects),
         F.col("current_speed_mph").between(0.0, float(cfg.max_speed_mph)),
         F.col("block_idx").between(0, cfg.n_blocks - 1),
     ]
-    stamped = with_event_time(events).withWatermark("event_time", f"{cfg.watermark_sec} seconds")
-    for rule in known + inside:
-        stamped = stamped.where(rule)
-    return stamped
+    return known + inside
 
 
 def explode_blocks_ahead(events: DataFrame) -> DataFrame:

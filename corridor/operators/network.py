@@ -66,22 +66,30 @@ def _drop_occupied(df: DataFrame, cfg: CorridorConfig) -> DataFrame:
     return df.drop(*(f"_word_{w}" for w in _words(cfg)))
 
 
-def derive_signals(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
-    """Add ``derived_aspect``: stop before an occupied block, approach one block earlier."""
+def network_state(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
+    """Add what a train sees ahead: ``derived_aspect`` and ``n_ahead``.
+
+    The aspect is stop before an occupied block and approach one block earlier; the
+    number counts the occupied ones of the next two blocks.
+    """
     aspect = (
         F.when(_is_occupied(1, cfg), "stop")
         .when(_is_occupied(2, cfg), "approach")
         .otherwise("clear")
     )
+    count = sum(_is_occupied(k, cfg).cast("int") for k in range(1, LOOKAHEAD + 1))
     known = _with_occupied(snapshot, cfg)
-    return _drop_occupied(known.withColumn("derived_aspect", aspect), cfg)
+    return _drop_occupied(known.withColumns({"derived_aspect": aspect, "n_ahead": count}), cfg)
+
+
+def derive_signals(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
+    """Add ``derived_aspect``: stop before an occupied block, approach one block earlier."""
+    return network_state(snapshot, cfg).drop("n_ahead")
 
 
 def blocks_ahead_count(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     """Add ``n_ahead``: how many of the next two blocks are occupied."""
-    count = sum(_is_occupied(k, cfg).cast("int") for k in range(1, LOOKAHEAD + 1))
-    known = _with_occupied(snapshot, cfg)
-    return _drop_occupied(known.withColumn("n_ahead", count), cfg)
+    return network_state(snapshot, cfg).drop("derived_aspect")
 
 
 def next_block_free(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:

@@ -30,6 +30,11 @@ def occupancy(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     to one row per slide-long pane, so the copies for overlapping windows are
     made from the reduced rows and not from all events.
     """
+    return state_columns(latest_states(silver, cfg), cfg)
+
+
+def latest_states(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
+    """``(window_start, window_end, *keys, state)``, the state with its time and event id."""
     newest = F.struct(
         "event_time", "event_id", *(F.col(src).alias(out) for out, src in STATE.items())
     )
@@ -37,7 +42,17 @@ def occupancy(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
         latest = _by_window(silver, newest, cfg)
     else:
         latest = _by_pane(silver, newest, cfg)
-    return latest.select(
+    return latest.select("window_start", "window_end", *cfg.keys, "state")
+
+
+def merged_states(states: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
+    """One row per window and train from the states of several sets of events."""
+    return states.groupBy("window_start", "window_end", *cfg.keys).agg(F.max("state").alias("state"))
+
+
+def state_columns(states: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
+    """The columns of the occupancy table."""
+    return states.select(
         "window_start",
         "window_end",
         *cfg.keys,

@@ -1,17 +1,16 @@
-"""Table checks: one aggregate, hence one scan, per layer."""
+"""Table checks: one aggregate, hence one scan, per table."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corridor.config import DEFAULT, SEVERITIES, CorridorConfig
-
-Rule = tuple[str, Column]
-
+from corridor.operators.events import validity, with_event_time
 
 def count_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """One row with the number of rows that break each rule; null is no violation."""
@@ -28,78 +27,147 @@ def not_among(value: Column, allowed: Sequence[str]) -> Column:
     return ~value.isin(*allowed)
 
 
-def _report(df: DataFrame, layer: str, required: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
-    """Rows ``(layer, check_name, passed, n_rows, n_bad)``: row count, columns, then rules.
+class LayerCheck(NamedTuple):
+    """What is checked of a layer: columns that must be there, and rules.
 
-    Each rule is an aggregate that counts what is wrong.
+    A rule is given which rows belong to the layer and returns an aggregate that counts
+    what is wrong among them.
     """
-    missing = len([c for c in required if c not in df.columns])
-    counted = df.agg(
-        F.count("*").alias("n_rows"), *(agg.alias(name) for name, agg in rules)
+
+    layer: str
+    required: tuple[str, ...]
+    rules: dict[str, Callable[[Column], Column]]
+
+
+def _broken(found: Column) -> Callable[[Column], Column]:
+    return lambda rows: F.count_if(rows & found)
+
+
+def _trains_off(cfg: CorridorConfig) -> Callable[[Column], Column]:
+    """Distance to the expected number of trains; a null train id is one more train."""
+
+    def rule(rows: Column) -> Column:
+        trains = F.count_distinct(F.when(rows, F.col("train_id")))
+        unnamed = F.max(rows & F.col("train_id").isNull()).cast("int")
+        return F.abs(trains + F.coalesce(unnamed, F.lit(0)) - cfg.expected_trains)
+
+    return rule
+
+
+# The columns that each layer must have.
+BRONZE_COLUMNS = (
+    "train_id",
+    "block_id",
+    "signal_aspect_ahead",
+    "current_speed_mph",
+    "schedule_adherence_sec",
+)
+SILVER_COLUMNS = ("event_time",)
+OCCUPANCY_COLUMNS = ("window_start", "window_end", "train_id")
+GOLD_COLUMNS = ("shockwave_delay_sec", "advisory_speed_mph", "delay_severity")
+
+
+def layer_checks(cfg: CorridorConfig = DEFAULT) -> dict[str, LayerCheck]:
+    """The checks of the four layers."""
+    bad_signal = not_among(F.col("signal_aspect_ahead"), cfg.aspects)
+    bad_speed = outside(F.col("current_speed_mph"), 0, cfg.max_speed_mph)
+    bad_severity = not_among(F.col("delay_severity"), SEVERITIES)
+    bad_advice = outside(F.col("advisory_speed_mph"), 0, cfg.max_speed_mph)
+    checks = (
+        LayerCheck("bronze", BRONZE_COLUMNS, {"train_id_known": _broken(F.col("train_id").isNull())}),
+        LayerCheck(
+            "silver",
+            SILVER_COLUMNS,
+            {"aspects_valid": _broken(bad_signal), "speeds_in_range": _broken(bad_speed)},
+        ),
+        LayerCheck("occupancy", OCCUPANCY_COLUMNS, {"trains_expected": _trains_off(cfg)}),
+        LayerCheck(
+            "gold",
+            GOLD_COLUMNS,
+            {"severities_valid": _broken(bad_severity), "advisories_in_range": _broken(bad_advice)},
+        ),
     )
-    no_rows = F.when(F.col("n_rows") > 0, 0).otherwise(1)
-    bad = {"rows_present": no_rows, "columns_present": F.lit(missing)}
-    bad |= {name: F.col(name) for name, _ in rules}
-    lines = F.array(
-        *(
-            F.struct(F.lit(name).alias("check_name"), n.cast("bigint").alias("n_bad"))
+    return {check.layer: check for check in checks}
+
+
+def _report(df: DataFrame, *layers: tuple[LayerCheck, Column]) -> DataFrame:
+    """Rows ``(layer, check_name, passed, n_rows, n_bad)`` of layers that ``df`` holds.
+
+    One aggregate for all of them. Each layer comes with the condition for its rows; its
+    lines are the row count, the columns, then the rules.
+    """
+    aggregates, lines = [], []
+    for check, rows in layers:
+        total = f"{check.layer}_rows"
+        missing = len([c for c in check.required if c not in df.columns])
+        aggregates.append(F.count_if(rows).alias(total))
+        bad = {
+            "rows_present": F.when(F.col(total) > 0, 0).otherwise(1),
+            "columns_present": F.lit(missing),
+        }
+        for name, rule in check.rules.items():
+            aggregates.append(rule(rows).alias(f"{check.layer}_{name}"))
+            bad[name] = F.col(f"{check.layer}_{name}")
+        lines += [
+            F.struct(
+                F.lit(check.layer).alias("layer"),
+                F.lit(name).alias("check_name"),
+                (n == 0).alias("passed"),
+                F.col(total).alias("n_rows"),
+                n.cast("bigint").alias("n_bad"),
+            )
             for name, n in bad.items()
-        )
-    )
-    return counted.select("n_rows", F.inline(lines)).select(
-        F.lit(layer).alias("layer"),
-        "check_name",
-        (F.col("n_bad") == 0).alias("passed"),
-        "n_rows",
-        "n_bad",
-    )
+        ]
+    return df.agg(*aggregates).select(F.inline(F.array(*lines)))
 
 
 def check_bronze(bronze: DataFrame) -> DataFrame:
-    required = [
-        "train_id",
-        "block_id",
-        "signal_aspect_ahead",
-        "current_speed_mph",
-        "schedule_adherence_sec",
-    ]
-    rules = [("train_id_known", F.count_if(F.col("train_id").isNull()))]
-    return _report(bronze, "bronze", required, rules)
+    return _report(bronze, (layer_checks()["bronze"], F.lit(True)))
 
 
 def check_silver(silver: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
-    rules = [
-        ("aspects_valid", F.count_if(not_among(F.col("signal_aspect_ahead"), cfg.aspects))),
-        (
-            "speeds_in_range",
-            F.count_if(outside(F.col("current_speed_mph"), 0, cfg.max_speed_mph)),
-        ),
-    ]
-    return _report(silver, "silver", ["event_time"], rules)
+    return _report(silver, (layer_checks(cfg)["silver"], F.lit(True)))
 
 
 def check_occupancy(occupancy: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     """A null train id counts as one more train."""
-    trains = F.count_distinct("train_id") + F.max(F.col("train_id").isNull()).cast("int")
-    off = F.abs(F.coalesce(trains, F.lit(0)) - cfg.expected_trains)
-    return _report(
-        occupancy,
-        "occupancy",
-        ["window_start", "window_end", "train_id"],
-        [("trains_expected", off)],
-    )
+    return _report(occupancy, (layer_checks(cfg)["occupancy"], F.lit(True)))
 
 
 def check_gold(gold: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
-    rules = [
-        ("severities_valid", F.count_if(not_among(F.col("delay_severity"), SEVERITIES))),
-        (
-            "advisories_in_range",
-            F.count_if(outside(F.col("advisory_speed_mph"), 0, cfg.max_speed_mph)),
-        ),
-    ]
-    required = ["shockwave_delay_sec", "advisory_speed_mph", "delay_severity"]
-    return _report(gold, "gold", required, rules)
+    return _report(gold, (layer_checks(cfg)["gold"], F.lit(True)))
+
+
+def _is_valid(cfg: CorridorConfig) -> Column:
+    return reduce(lambda a, b: a & b, validity(cfg))
+
+
+def derived_report(
+    bronze: DataFrame, gold: DataFrame, cfg: CorridorConfig = DEFAULT
+) -> DataFrame:
+    """``dq_report`` where Silver and occupancy are not stored but derived.
+
+    Silver is the valid part of Bronze, and Gold has a row for every row of occupancy:
+    two aggregates see all four layers, and each parsed input is read once.
+    """
+    checks = layer_checks(cfg)
+    events = _report(
+        with_event_time(bronze), (checks["bronze"], F.lit(True)), (checks["silver"], _is_valid(cfg))
+    )
+    windows = _report(gold, (checks["occupancy"], F.lit(True)), (checks["gold"], F.lit(True)))
+    return _with_total(events.unionByName(windows))
+
+
+def derived_counts(bronze: DataFrame, gold: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
+    """Rows of the four layers, derived as in ``derived_report``."""
+
+    def lines(df: DataFrame, **tables: Column) -> DataFrame:
+        counts = df.agg(*(F.count_if(rows).alias(name) for name, rows in tables.items()))
+        pairs = (F.struct(F.lit(t).alias("table_name"), F.col(t).alias("n_rows")) for t in tables)
+        return counts.select(F.inline(F.array(*pairs)))
+
+    events = lines(with_event_time(bronze), bronze=F.lit(True), silver=_is_valid(cfg))
+    return events.unionByName(lines(gold, occupancy=F.lit(True), gold=F.lit(True)))
 
 
 def dq_report(
@@ -109,14 +177,17 @@ def dq_report(
     gold: DataFrame,
     cfg: CorridorConfig = DEFAULT,
 ) -> DataFrame:
-    """All checks plus one ``(all, failed_checks)`` row that sums the failures."""
+    """All checks of four stored tables plus one ``(all, failed_checks)`` row that sums the failures."""
     parts = [
         check_bronze(bronze),
         check_silver(silver, cfg),
         check_occupancy(occupancy, cfg),
         check_gold(gold, cfg),
     ]
-    checks = reduce(DataFrame.unionByName, parts)
+    return _with_total(reduce(DataFrame.unionByName, parts))
+
+
+def _with_total(checks: DataFrame) -> DataFrame:
     failed = F.count_if(~F.col("passed"))
     is_total = F.grouping("check_name") == 1
     return checks.groupingSets(

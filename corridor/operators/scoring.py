@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,12 +15,9 @@ from pyspark.sql import types as T
 from corridor.config import DEFAULT, SPEED_TARGETS_MPH, CorridorConfig
 from corridor.functions import policy as P
 from corridor.operators.advisories import with_blocks_count
+from corridor.operators.network import network_state
 
 SCORE = "rl_advisory_speed_mph"
-# Up to this many weights the network is written out as column arithmetic inside
-# generated code; larger ones run as Arrow batches.
-MAX_INLINE_WEIGHTS = 1024
-MAX_MODEL_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -45,6 +43,24 @@ def with_features(gold: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
     return counted.withColumn("obs", obs)
 
 
+def with_network_features(snapshot: DataFrame, cfg: CorridorConfig = DEFAULT) -> DataFrame:
+    """Add the observation a train makes of its corridor, from which blocks are occupied.
+
+    Signal aspect and number of occupied blocks ahead come from one pass over the
+    snapshots, not from what the events report.
+    """
+    obs = P.observation(
+        F.col("speed_mph"),
+        F.col("derived_aspect"),
+        F.col("n_ahead"),
+        F.col("schedule_adherence_sec"),
+        F.col("track_grade_pct"),
+        F.col("block_idx"),
+        cfg,
+    )
+    return network_state(snapshot, cfg).withColumn("obs", obs)
+
+
 def apply_policy(
     df: DataFrame, policy: Callable[[Column], Column], column: str = SCORE
 ) -> DataFrame:
@@ -52,38 +68,48 @@ def apply_policy(
     return df.withColumn(column, P.target_speed(policy(F.col("obs"))))
 
 
-def _activation(name: str) -> Callable[[Column], Column]:
-    return {"relu": lambda x: F.greatest(x, F.lit(0.0)), "tanh": F.tanh}[name]
+# Activations by name, for columns and for arrays.
+COLUMN_ACTIVATIONS = {"relu": lambda x: F.greatest(x, F.lit(0.0)), "tanh": F.tanh}
+ARRAY_ACTIVATIONS = {"relu": lambda x: np.maximum(x, 0.0), "tanh": np.tanh}
 
 
-def _np_activation(name: str) -> Callable[[np.ndarray], np.ndarray]:
-    return {"relu": lambda x: np.maximum(x, 0.0), "tanh": np.tanh}[name]
+def _forward(
+    layers: tuple[Layer, ...], activation: str
+) -> Callable[[np.ndarray], np.ndarray]:
+    """The network's outputs for a matrix of observations, one matrix product per layer."""
+    squash = ARRAY_ACTIVATIONS[activation]
+    dense = [(np.array(layer.weights, float).T, np.array(layer.bias, float)) for layer in layers]
 
+    def run(x: np.ndarray) -> np.ndarray:
+        for weights, bias in dense[:-1]:
+            x = squash(x @ weights + bias)
+        weights, bias = dense[-1]
+        return x @ weights + bias
 
-def _dense(layer: Layer, inputs: list[Column]) -> list[Column]:
-    def unit(row: tuple[float, ...], bias: float) -> Column:
-        total = F.lit(float(bias))
-        for weight, value in zip(row, inputs, strict=True):
-            total = total + F.lit(float(weight)) * value
-        return total
+    return run
 
-    return [unit(r, b) for r, b in zip(layer.weights, layer.bias, strict=True)]
 
+def network_udf(layers: tuple[Layer, ...], activation: str = "relu"):
+    """A function of an observation column: the advised speed, in Arrow batches.
 
-def _logits(obs: np.ndarray, layers: tuple[Layer, ...], activation: str) -> np.ndarray:
-    """Batch forward pass that adds terms in the order of the column arithmetic."""
-    squash, x = _np_activation(activation), obs
-    for depth, layer in enumerate(layers):
-        weights = np.asarray(layer.weights)
-        total = np.tile(np.asarray(layer.bias, dtype=float), (len(x), 1))
-        for j in range(weights.shape[1]):
-            total += weights[:, j] * x[:, [j]]
-        x = total if depth == len(layers) - 1 else squash(total)
-    return x
-
+    A null observation, or one of another length than the network's input, gives null.
+    Of equal outputs the first counts.
+    """
+    targets = np.array(SPEED_TARGETS_MPH)
+    width = len(layers[0].weights[0])
+    forward = _forward(layers, activation)
+
+    @F.arrow_udf(T.DoubleType())
+    def advise(obs: pa.Array) -> pa.Array:
+        fits = pc.fill_null(pc.equal(pc.list_value_length(obs), width), False)
+        known = obs.filter(fits)
+        speeds = np.full(len(obs), np.nan)
+        if len(known):
+            matrix = known.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            speeds[fits.to_numpy(zero_copy_only=False)] = targets[forward(matrix).argmax(axis=1)]
+        return pa.array(speeds, mask=np.isnan(speeds))
 
-def _stack(obs: pd.Series) -> np.ndarray:
-    return np.stack(obs.to_numpy()) if len(obs) else np.empty((0, len(P.OBSERVATION)))
+    return advise
 
 
 def score_policy(
@@ -91,35 +117,36 @@ def score_policy(
     layers: tuple[Layer, ...],
     activation: str = "relu",
     column: str = SCORE,
-    max_inline_weights: int = MAX_INLINE_WEIGHTS,
 ) -> DataFrame:
-    """Add the speed the network advises for ``obs``."""
-    if sum(len(la.weights) * len(la.weights[0]) for la in layers) > max_inline_weights:
-        return featured.withColumn(column, _network_udf(layers, activation)(F.col("obs")))
-    squash, df = _activation(activation), featured
-    names = [f"obs[{j}]" for j in range(len(P.OBSERVATION))]
-    inputs = [F.expr(n) for n in names]
-    helpers = []
-    for depth, layer in enumerate(layers):
-        units = _dense(layer, inputs)
-        if depth < len(layers) - 1:
-            units = [squash(u) for u in units]
-        outs = [f"_unit_{depth}_{i}" for i in range(len(units))]
-        # One projection per layer: each unit is computed once, not once per use.
-        df = df.withColumns(dict(zip(outs, units, strict=True)))
-        inputs = [F.col(c) for c in outs]
-        helpers += outs
-    return df.withColumn(column, P.target_speed(P.argmax_action(F.array(*inputs)))).drop(*helpers)
-
+    """Add the speed the network advises for ``obs``, for a network of any size."""
+    return featured.withColumn(column, network_udf(layers, activation)(F.col("obs")))
 
-def _network_udf(layers: tuple[Layer, ...], activation: str):
-    targets = np.asarray(SPEED_TARGETS_MPH)
 
-    @F.pandas_udf(T.DoubleType())
-    def advise(obs: pd.Series) -> pd.Series:
-        return pd.Series(targets[_logits(_stack(obs), layers, activation).argmax(axis=1)])
+def score_columns(
+    featured: DataFrame,
+    layers: tuple[Layer, ...],
+    activation: str = "relu",
+    column: str = SCORE,
+) -> DataFrame:
+    """The same as column arithmetic without Python, for a caller with a small network.
 
-    return advise
+    Each layer is one projection, so a unit is computed once and not once per use.
+    """
+    squash, df = COLUMN_ACTIVATIONS[activation], featured
+    inputs = [F.col("obs")[j] for j in range(len(layers[0].weights[0]))]
+    helpers = []
+    for depth, layer in enumerate(layers):
+        names = [f"_unit_{depth}_{i}" for i in range(len(layer.bias))]
+        units = {}
+        for name, row, bias in zip(names, layer.weights, layer.bias, strict=True):
+            total = F.lit(float(bias))
+            for weight, value in zip(row, inputs, strict=True):
+                total = total + F.lit(float(weight)) * value
+            units[name] = squash(total) if depth < len(layers) - 1 else total
+        df = df.withColumns(units)
+        inputs = [F.col(n) for n in names]
+        helpers += names
+    return df.withColumn(column, P.target_speed(P.argmax_action(F.array(*inputs)))).drop(*helpers)
 
 
 def register_udfs(
@@ -129,37 +156,7 @@ def register_udfs(
     name: str = "rl_advisory",
 ) -> None:
     """Make the network callable from SQL as ``rl_advisory(obs)``."""
-    spark.udf.register(name, _network_udf(layers, activation))
-
-
-def score_model(featured: DataFrame, model_path: str, column: str = SCORE) -> DataFrame:
-    """Add the speed an ONNX model file advises; one session per task, Arrow batches.
-
-    The file must take ``observation`` (float32, n x 8) and return action logits.
-    """
-    spark = featured.sparkSession
-    file = spark.read.format("binaryFile").load(model_path).select("length", "content").first()
-    if file is None or file["length"] > MAX_MODEL_BYTES:
-        raise ValueError(f"no model, or one above {MAX_MODEL_BYTES} bytes, at {model_path}")
-    model = spark.sparkContext.broadcast(bytes(file["content"]))
-    targets = np.asarray(SPEED_TARGETS_MPH)
-
-    @F.pandas_udf(T.DoubleType())
-    def advise(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import onnxruntime as ort
-
-        options = ort.SessionOptions()
-        # Tasks already use one core each.
-        options.intra_op_num_threads = options.inter_op_num_threads = 1
-        session = ort.InferenceSession(model.value, options, providers=["CPUExecutionProvider"])
-        for obs in batches:
-            if len(obs) == 0:
-                yield pd.Series([], dtype=float)
-                continue
-            inputs = {"observation": _stack(obs).astype(np.float32)}
-            yield pd.Series(targets[session.run(None, inputs)[0].argmax(axis=1)])
-
-    return featured.withColumn(column, advise(F.col("obs")))
+    spark.udf.register(name, network_udf(layers, activation))
 
 
 def advisory_agreement(

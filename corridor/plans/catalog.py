@@ -13,11 +13,13 @@ from corridor.operators import evaluation as ev
 from corridor.operators import network, quality, scoring, serving
 from corridor.operators.advisories import sample_columns
 from corridor.operators.events import explode_blocks_ahead, parse_events, validate_events
-from corridor.plans.layers import Layers, edge, example_network, rounded
+from corridor.plans import dashboard
+from corridor.plans.layers import Layers, edge, example_network, other_network, rounded, wide_network
 from corridor.schema import GOLD, OCCUPANCY, SILVER_EVENT, TRAIN_EVENT
 from corridor.session import new_path
-from corridor.sources import deliveries, log, tables
+from corridor.sources import deliveries, keyed_log, log, tables
 from corridor.streaming import jobs, sinks
+from corridor.streaming.late import LateRows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,7 +39,10 @@ def _flat_events(events: DataFrame) -> DataFrame:
 
 
 def bronze_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = Layers(spark, sf_dir).bronze
+    return _bronze_columns(Layers(spark, sf_dir).bronze)
+
+
+def _bronze_columns(events: DataFrame) -> DataFrame:
     known = F.when(F.col("blocks_ahead_occupied").isNotNull(), F.size("blocks_ahead_occupied"))
     flat = [c for c in EVENT_FIELDS if c not in ("event_time", *WHOLE_OR_NULL)]
     return events.select(
@@ -104,14 +109,12 @@ def dq_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Layers(spark, sf_dir)
-    return quality.dq_report(t.bronze, t.silver, t.occupancy, t.gold, t.cfg)
+    return quality.derived_report(t.bronze, t.gold, t.cfg)
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Layers(spark, sf_dir)
-    return quality.table_counts(
-        {"bronze": t.bronze, "silver": t.silver, "occupancy": t.occupancy, "gold": t.gold}
-    )
+    return quality.derived_counts(t.bronze, t.gold, t.cfg)
 
 
 def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,11 +261,35 @@ def advisory_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scoring.advisory_agreement(Layers(spark, sf_dir).scored))
 
 
+def policy_scores_64(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A network of the usual size."""
+    rows = scoring.score_policy(Layers(spark, sf_dir).featured, wide_network(), "tanh")
+    return edge(rows.select("window_start", "train_id", scoring.SCORE))
+
+
 def score_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column arithmetic against Arrow batches on the same rows."""
+    """One network by Arrow batches and by columns, then two different networks."""
     layers = Layers(spark, sf_dir)
-    batched = scoring.score_policy(layers.featured, example_network(), max_inline_weights=0)
-    return scoring.score_parity(layers.scored, batched, ["window_start", "train_id"])
+    keys = ["window_start", "train_id"]
+    columns = scoring.score_columns(layers.featured, example_network())
+    other = scoring.score_columns(layers.featured, other_network())
+    same = scoring.score_parity(layers.scored, columns, keys)
+    different = scoring.score_parity(layers.scored, other, keys)
+    return same.withColumn("pair", F.lit("same network")).unionByName(
+        different.withColumn("pair", F.lit("other network"))
+    )
+
+
+def network_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations from derived signals and counted blocks."""
+    rows = scoring.with_network_features(Layers(spark, sf_dir).occupancy)
+    return edge(
+        rows.select(
+            "window_start",
+            "train_id",
+            *(F.col("obs")[i].alias(name) for i, name in enumerate(P.OBSERVATION)),
+        )
+    )
 
 
 # --- evaluation ---------------------------------------------------------------
@@ -301,18 +328,22 @@ def metric_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class _Feed:
-    """A validated stream over freshly written deliveries, and folders for results."""
+    """A validated stream over freshly written deliveries, and folders for results.
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    With ``late_period`` every such row comes three deliveries late, and each trigger
+    reads one delivery.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, late_period: int | None = None) -> None:
         layers = Layers(spark, sf_dir)
         self.spark, self.base = spark, new_path(spark, "stream")
         rows_each = deliveries.rows_per_delivery(layers.log)
-        files = deliveries.write_deliveries(layers.log, f"{self.base}/log", rows_each)
+        files = deliveries.write_deliveries(layers.log, f"{self.base}/log", rows_each, late_period)
         self.log = log.read_event_stream(
             spark,
             "parquet",
             f"{self.base}/log",
-            maxFilesPerTrigger=deliveries.files_per_trigger(files),
+            maxFilesPerTrigger="1" if late_period else deliveries.files_per_trigger(files),
             recursiveFileLookup="true",
         )
         self.silver = validate_events(parse_events(self.log))
@@ -331,6 +362,27 @@ class _Feed:
         return jobs.state_settings(self.spark, self.spark.sparkContext.defaultParallelism)
 
 
+def dashboard_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest row per train from the newest eight files of Gold."""
+    path = _gold_in_turn(spark, sf_dir)
+    return edge(dashboard.load_state(spark, path, f"{path}-sample")[0])
+
+
+def dashboard_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time-distance series from the newest twenty files of Gold."""
+    path = _gold_in_turn(spark, sf_dir)
+    return edge(dashboard.load_history(spark, path, f"{path}-sample"))
+
+
+def _gold_in_turn(spark: SparkSession, sf_dir: str) -> str:
+    """Gold as 25 files that came one after another; a window's file follows from its time."""
+    path = new_path(spark, "gold")
+    turn = F.expr("cast(unix_seconds(window_start) div 10 % 25 as int)")
+    gold = Layers(spark, sf_dir).gold.withColumn("turn", turn)
+    deliveries.write_in_turn(gold.repartition("turn"), path, "turn")
+    return path
+
+
 def stream_silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log to Bronze table to Silver table, with occupancy as a second sink."""
     feed = _Feed(spark, sf_dir)
@@ -350,6 +402,14 @@ def stream_silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(_flat_events(tables.read_table(spark, feed.at("silver"), schema=SILVER_EVENT)))
 
 
+def stream_occupancy_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and occupancy committed together by one query; the second of them."""
+    feed = _Feed(spark, sf_dir)
+    path = feed.at("tables")
+    jobs.finish([jobs.start_silver_and_occupancy(parse_events(feed.log), path, feed.at("check"))])
+    return edge(jobs.read_silver_and_occupancy(spark, path)[1])
+
+
 def stream_occupancy_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _Feed(spark, sf_dir).occupancy("append")
     return edge(tables.read_table(spark, path, schema=OCCUPANCY))
@@ -361,7 +421,48 @@ def stream_occupancy_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_occupancy_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _Feed(spark, sf_dir).occupancy("update")
-    return edge(sinks.read_upserted(spark, path, ["window_start", "window_end", "train_id"]))
+    return edge(sinks.read_upserted(spark, path, jobs.occupancy_keys()))
+
+
+def stream_keyed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from a log with offsets, half of it appended while the query is stopped."""
+    layers, base = Layers(spark, sf_dir), new_path(spark, "keyed")
+    half = F.pmod(F.col("n"), F.lit(2))
+    for turn in (0, 1):
+        rows = layers.log.where(half == turn)
+        keyed_log.append_events(rows, f"{base}/log", ["timestamp", "n"])
+        raw = log.read_event_stream(
+            spark, keyed_log.FORMAT, f"{base}/log", startingOffsets="earliest", failOnDataLoss="true"
+        )
+        jobs.finish([jobs.start_bronze(raw, f"{base}/bronze", f"{base}/check")])
+    return _bronze_columns(tables.read_table(spark, f"{base}/bronze", schema=TRAIN_EVENT))
+
+
+LATE_PERIOD = 97
+
+
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows without the rows that came later than the watermark allows."""
+    path = _Feed(spark, sf_dir, LATE_PERIOD).occupancy("append")
+    return edge(tables.read_table(spark, path, schema=OCCUPANCY))
+
+
+def stream_late_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows the same stream drops."""
+    feed = _Feed(spark, sf_dir, LATE_PERIOD)
+    with LateRows(spark, feed.at("late")) as late, feed.state():
+        query = jobs.start_occupancy(feed.silver, feed.at("occupancy"), feed.at("check"))
+        jobs.finish([query])
+        dropped = late.count(query)
+    return spark.range(1).select(F.lit(dropped).cast("bigint").alias("n_dropped"))
+
+
+def stream_step_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rewards from state per train; of events the last watermark has passed."""
+    feed = _Feed(spark, sf_dir)
+    with feed.state():
+        jobs.finish([jobs.start_step_rewards(feed.silver, feed.at("steps"), feed.at("check"))])
+    return tables.read_table(spark, feed.at("steps")).select(*REWARD_FIELDS)
 
 
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,6 +472,19 @@ def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(tables.read_table(spark, feed.at("gold"), schema=GOLD))
 
 
+def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of closed windows published with the network's advice."""
+    feed = _Feed(spark, sf_dir)
+    closed = tables.read_table_stream(spark, feed.occupancy("append"), OCCUPANCY)
+    jobs.finish([jobs.start_gold(closed, feed.at("gold"), feed.at("check_gold"))])
+    gold = tables.read_table_stream(spark, feed.at("gold"), GOLD)
+    jobs.finish(
+        [jobs.start_scored(gold, example_network(), feed.at("scored"), feed.at("check_scored"))]
+    )
+    rows = sinks.read_batches(spark, feed.at("scored"))
+    return edge(rows.select("window_start", "train_id", "delay_severity", scoring.SCORE))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -404,9 +518,13 @@ QUERIES: dict[str, Query] = {
         rl_overlay,
         union_by_name,
         recent_files_scan,
+        dashboard_state,
+        dashboard_history,
         policy_features,
         policy_scores,
         policy_scores_sql,
+        policy_scores_64,
+        network_features,
         rule_policy_actions,
         advisory_agreement,
         score_parity,
@@ -417,9 +535,15 @@ QUERIES: dict[str, Query] = {
         policy_compare,
         metric_histogram,
         stream_silver_append,
+        stream_occupancy_from_silver,
         stream_occupancy_append,
         stream_occupancy_complete,
         stream_occupancy_update,
+        stream_keyed_log,
+        stream_late,
+        stream_late_count,
+        stream_step_rewards,
         stream_gold,
+        stream_scored,
     )
 }

@@ -18,18 +18,39 @@ from corridor.session import prepare
 from corridor.sources.movements import log_rows
 
 
-def example_network() -> tuple[scoring.Layer, scoring.Layer]:
+def example_network(shift: int = 0) -> tuple[scoring.Layer, scoring.Layer]:
     """A small 8-4-5 network with weights from a formula; no trained model is given."""
 
     def layer(n_out: int, n_in: int) -> scoring.Layer:
         weights = tuple(
-            tuple(((31 * i + 17 * j) % 13 - 6) / 10 for j in range(n_in)) for i in range(n_out)
+            tuple(((31 * i + 17 * j + shift) % 13 - 6) / 10 for j in range(n_in))
+            for i in range(n_out)
         )
-        return scoring.Layer(weights, tuple(((7 * i) % 5 - 2) / 10 for i in range(n_out)))
+        return scoring.Layer(weights, tuple(((7 * i + shift) % 5 - 2) / 10 for i in range(n_out)))
 
     return layer(4, 8), layer(5, 4)
 
 
+def other_network() -> tuple[scoring.Layer, scoring.Layer]:
+    """One that advises other speeds for some observations."""
+    return example_network(shift=4)
+
+
+def wide_network(seed: int = 1) -> tuple[scoring.Layer, ...]:
+    """An 8-64-64-5 network, the usual size, with weights from a formula."""
+
+    def layer(n_out: int, n_in: int, k: int) -> scoring.Layer:
+        return scoring.Layer(
+            tuple(
+                tuple(((37 * i + 101 * j + i * j * k) % 211 - 105) / 400 for j in range(n_in))
+                for i in range(n_out)
+            ),
+            tuple(((53 * i + k) % 97 - 48) / 200 for i in range(n_out)),
+        )
+
+    return layer(64, 8, seed), layer(64, 64, seed + 1), layer(5, 64, seed + 2)
+
+
 def edge(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock values, for results that leave Spark."""
     return df.select(

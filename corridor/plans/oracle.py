@@ -6,7 +6,8 @@ parsing and casting too. ``CTES`` holds the shared tables, in dependency order.
 
 from __future__ import annotations
 
-from corridor.plans.layers import example_network
+from corridor.operators.scoring import Layer
+from corridor.plans.layers import example_network, other_network, wide_network
 
 START = "TIMESTAMP '2024-01-01 00:00:00'"
 EVENT_COLUMNS = """event_id, timestamp_utc, train_id, block_id, block_idx, subdivision,
@@ -122,6 +123,21 @@ GOLD_REST = [
     "delay_severity",
 ]
 
+def _newest_files(n: int, files: int = 25) -> str:
+    """Gold rows in the last ``n`` of the files that are written in turn."""
+    return f"(SELECT * FROM gold WHERE epoch(window_start)::BIGINT // 10 % {files} >= {files - n})"
+
+
+def _marey(gold: str) -> str:
+    return f"""SELECT train_id, window_start, block_idx, speed_mph, schedule_adherence_sec,
+          delay_severity, CASE delay_severity WHEN 'moderate' THEN 'diamond'
+            WHEN 'critical' THEN 'x' ELSE 'circle' END AS marker,
+          CASE train_id WHEN 'T_001' THEN '#3b82f6' WHEN 'T_002' THEN '#10b981'
+            WHEN 'T_003' THEN '#f59e0b' WHEN 'T_004' THEN '#8b5cf6'
+            WHEN 'T_005' THEN '#ef4444' ELSE '#6b7280' END AS colour
+        FROM {gold}"""
+
+
 FEATURES = """
     SELECT *,
       coalesce(speed_mph::DOUBLE, 0) / 79.0::DOUBLE AS speed_norm,
@@ -149,8 +165,8 @@ OBSERVATION = [
 ]
 
 
-def _scored() -> str:
-    hidden, out = example_network()
+def _scored(network: tuple[Layer, Layer], features: str = "features") -> str:
+    hidden, out = network
 
     def unit(row, bias, inputs) -> str:
         terms = "".join(f" + ({w})::DOUBLE * {x}" for w, x in zip(row, inputs))
@@ -165,7 +181,32 @@ def _scored() -> str:
     return f"""
     SELECT *, ([0.0, 20.0, 40.0, 60.0, 79.0])[list_position(logits, list_max(logits))]::DOUBLE
         AS rl_advisory_speed_mph
-    FROM (SELECT *, [{second}] AS logits FROM (SELECT *, {first} FROM features))"""
+    FROM (SELECT *, [{second}] AS logits FROM (SELECT *, {first} FROM {features}))"""
+
+
+def _scored_wide() -> str:
+    """The same for three layers, with sums over lists."""
+    inputs = f"[{', '.join(OBSERVATION)}]"
+
+    def dense(layer: Layer, x: str) -> str:
+        weights = [list(row) for row in layer.weights]
+        return (
+            f"list_transform(range(1, {len(layer.bias) + 1}), lambda i: ({list(layer.bias)}::DOUBLE[])[i]"
+            f" + list_sum(list_transform(range(1, {len(weights[0]) + 1}),"
+            f" lambda j: ({weights}::DOUBLE[][])[i][j] * {x}[j])))"
+        )
+
+    def squashed(values: str) -> str:
+        return f"list_transform({values}, lambda v: tanh(v))"
+
+    one, two, three = wide_network()
+    return f"""
+    SELECT *, ([0.0, 20.0, 40.0, 60.0, 79.0])[list_position(logits, list_max(logits))]::DOUBLE
+        AS rl_advisory_speed_mph
+    FROM (SELECT *, {dense(three, "second")} AS logits
+      FROM (SELECT *, {squashed(dense(two, "first"))} AS second
+        FROM (SELECT *, {squashed(dense(one, "inputs"))} AS first
+          FROM (SELECT *, {inputs} AS inputs FROM features))))"""
 
 
 STEPS = """
@@ -218,6 +259,21 @@ BLOCKS = """
     SELECT i::INTEGER AS block_idx, 'B_' || lpad((i + 1)::VARCHAR, greatest(3, length((i + 1)::VARCHAR))::INTEGER, '0') AS block_id
     FROM range(20) t(i)"""
 
+# One delivery per trigger, every 97th row three deliveries late. A batch drops rows whose
+# window ended before the watermark of its predecessor, which knows the batches before it.
+PUNCTUAL = """
+    SELECT *, epoch(window_end) <= coalesce(limit_sec, 0) AS late
+    FROM (SELECT d.*, window_start + INTERVAL 30 SECOND AS window_end,
+            epoch((SELECT max(m.latest) FROM deliveries m WHERE m.batch <= d.batch - 2)) - 30
+              AS limit_sec
+          FROM (SELECT *, time_bucket(INTERVAL 10 SECOND, event_time) - to_seconds(10 * back)
+                  AS window_start
+                FROM delivered, (SELECT unnest([0, 1, 2]) AS back)) d)"""
+
+DELIVERED = """
+    SELECT *, n // each + CASE WHEN n % 97 = 0 THEN 3 ELSE 0 END AS batch
+    FROM silver, (SELECT greatest(500, (count(*) + 9) // 10) AS each FROM events)"""
+
 # Name -> (tables it reads, SQL).
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "ev": ((), _events(False)),
@@ -229,7 +285,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "occ_fleet": (("silver_fleet",), _occupancy("silver_fleet", "subdivision, train_id")),
     "gold_fleet": (("occ_fleet",), _gold("occ_fleet")),
     "features": (("gold",), FEATURES),
-    "scored": (("features",), _scored()),
+    "scored": (("features",), _scored(example_network())),
+    "scored_other": (("features",), _scored(other_network())),
+    "scored_wide": (("features",), _scored_wide()),
     "latest": (("gold",), _latest("gold", GOLD_REST)),
     "latest_scored": (
         ("scored",),
@@ -242,12 +300,20 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "net_fleet": (("occ_fleet",), NETWORK_FLEET),
     "holders": (("occ",), HOLDERS),
     "blocks": ((), BLOCKS),
+    "delivered": (("silver",), DELIVERED),
+    "deliveries": (
+        ("delivered",),
+        "SELECT batch, max(event_time) AS latest FROM delivered GROUP BY batch",
+    ),
+    "windowed": (("delivered", "deliveries"), PUNCTUAL),
     "closed": (
         ("occ", "silver"),
         "SELECT * FROM occ WHERE window_end <= "
         "(SELECT max(event_time) FROM silver) - INTERVAL 30 SECOND",
     ),
     "gold_closed": (("closed",), _gold("closed")),
+    "features_closed": (("gold_closed",), FEATURES.replace("FROM gold)", "FROM gold_closed)")),
+    "scored_closed": (("features_closed",), _scored(example_network(), "features_closed")),
 }
 
 
@@ -520,16 +586,9 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
           round(avg(advisory_speed_mph), 6) AS avg_advisory_mph, count(*) AS trains
         FROM latest""",
     ),
-    "marey_series": (
-        ("gold",),
-        """SELECT train_id, window_start, block_idx, speed_mph, schedule_adherence_sec,
-          delay_severity, CASE delay_severity WHEN 'moderate' THEN 'diamond'
-            WHEN 'critical' THEN 'x' ELSE 'circle' END AS marker,
-          CASE train_id WHEN 'T_001' THEN '#3b82f6' WHEN 'T_002' THEN '#10b981'
-            WHEN 'T_003' THEN '#f59e0b' WHEN 'T_004' THEN '#8b5cf6'
-            WHEN 'T_005' THEN '#ef4444' ELSE '#6b7280' END AS colour
-        FROM gold""",
-    ),
+    "marey_series": (("gold",), _marey("gold")),
+    "dashboard_state": (("gold",), _latest(_newest_files(8), GOLD_REST)),
+    "dashboard_history": (("gold",), _marey(_newest_files(20))),
     "rl_overlay": (
         ("latest_scored", "blocks"),
         f"""SELECT block_idx, block_id, train_id,
@@ -576,8 +635,33 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM scored GROUP BY signal_aspect""",
     ),
     "score_parity": (
-        ("scored",),
-        "SELECT count(*) AS n_rows, 0::BIGINT AS n_mismatch, true AS matches FROM scored",
+        ("scored", "scored_other"),
+        """SELECT 'same network' AS pair, count(*) AS n_rows, 0::BIGINT AS n_mismatch,
+          true AS matches FROM scored
+        UNION ALL
+        SELECT 'other network', count(*), count(*) FILTER (abs(s.rl_advisory_speed_mph
+            - o.rl_advisory_speed_mph) > 1e-5 + 1e-5 * abs(o.rl_advisory_speed_mph)) AS n,
+          n = 0
+        FROM scored s JOIN scored_other o USING (window_start, train_id)""",
+    ),
+    "policy_scores_64": (
+        ("scored_wide",),
+        "SELECT window_start, train_id, rl_advisory_speed_mph FROM scored_wide",
+    ),
+    "network_features": (
+        ("net",),
+        """SELECT window_start, train_id,
+          coalesce(speed_mph::DOUBLE, 0) / 79.0::DOUBLE AS speed_norm,
+          next_taken::INTEGER::DOUBLE AS is_stop,
+          (NOT next_taken AND second_taken)::INTEGER::DOUBLE AS is_approach,
+          (NOT next_taken AND NOT second_taken)::INTEGER::DOUBLE AS is_clear,
+          (next_taken::INTEGER + second_taken::INTEGER)::DOUBLE / 2.0::DOUBLE AS ahead_norm,
+          greatest(least(coalesce(schedule_adherence_sec::DOUBLE, 0) / 300.0::DOUBLE,
+            1.0::DOUBLE), (-1.0)::DOUBLE) AS adherence_norm,
+          greatest(least(coalesce(track_grade_pct::DOUBLE, 0) / 3.0::DOUBLE, 1.0::DOUBLE),
+            (-1.0)::DOUBLE) AS grade_norm,
+          block_idx::DOUBLE / 19.0::DOUBLE AS progress_norm
+        FROM net""",
     ),
     "step_rewards": (
         ("steps",),
@@ -615,12 +699,42 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         ("silver",),
         f"SELECT {EVENT_COLUMNS}, event_time, n_blocks_ahead FROM silver",
     ),
+    "stream_occupancy_from_silver": (("occ",), f"SELECT {OCCUPANCY_COLUMNS} FROM occ"),
     "stream_occupancy_append": (("closed",), f"SELECT {OCCUPANCY_COLUMNS} FROM closed"),
     "stream_occupancy_complete": (("occ",), f"SELECT {OCCUPANCY_COLUMNS} FROM occ"),
     "stream_occupancy_update": (("occ",), f"SELECT {OCCUPANCY_COLUMNS} FROM occ"),
+    "stream_late": (
+        ("windowed", "silver"),
+        f"""SELECT window_start, window_end, train_id, {", ".join(
+            "s." + c.strip() for c in STATE_COLUMNS.split(","))}
+        FROM (SELECT window_start, window_end, train_id, arg_max(
+              {{'block_id': block_id, 'block_idx': block_idx,
+                'signal_aspect': signal_aspect_ahead, 'speed_mph': current_speed_mph,
+                'schedule_adherence_sec': schedule_adherence_sec,
+                'track_grade_pct': track_grade_pct}}, (event_time, event_id)) AS s
+          FROM windowed WHERE NOT late GROUP BY window_start, window_end, train_id)
+        WHERE window_end <= (SELECT max(event_time) FROM silver) - INTERVAL 30 SECOND""",
+    ),
+    "stream_late_count": (
+        ("windowed",),
+        """SELECT count(DISTINCT (batch, window_start, train_id)) AS n_dropped
+        FROM windowed WHERE late""",
+    ),
+    "stream_step_rewards": (
+        ("steps",),
+        """SELECT train_id, event_id, step::BIGINT AS step, prev_speed_mph, reward FROM steps
+        WHERE event_time <= (SELECT max(event_time) FROM silver) - INTERVAL 30 SECOND""",
+    ),
+    "stream_scored": (
+        ("scored_closed",),
+        "SELECT window_start, train_id, delay_severity, rl_advisory_speed_mph FROM scored_closed",
+    ),
     "stream_gold": (("gold_closed",), "SELECT * FROM gold_closed"),
 }
 
+# The log keeps every row, so Bronze read from it is Bronze.
+QUERIES["stream_keyed_log"] = QUERIES["bronze_parse"]
+
 
 def oracle_sql() -> dict[str, str]:
     """Complete SQL per query."""

@@ -32,12 +32,16 @@ def write_deliveries(
 ) -> int:
     """Write ``rows`` (which carry the number ``n``) and return the number of files.
 
-    With ``late_period`` every such row is delivered ``LATE_BY`` deliveries later.
+    With ``late_period`` every such row is delivered ``LATE_BY`` deliveries later, and
+    each delivery is one file.
     """
     number = F.floor(F.col("n") / rows_each).cast("int")
     if late_period:
         number = number + F.when(F.col("n") % late_period == 0, LATE_BY).otherwise(0)
-    return write_in_turn(rows.withColumn("delivery", number).drop("n"), path, "delivery")
+    numbered = rows.withColumn("delivery", number).drop("n")
+    if late_period:
+        numbered = numbered.repartition("delivery")
+    return write_in_turn(numbered, path, "delivery")
 
 
 def write_in_turn(rows: DataFrame, path: str, part: str) -> int:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corridor.config import TOPIC
 from corridor.schema import LOG_ROW
+from corridor.sources import keyed_log
 
 # Environment variable and address of the default broker.
 BROKER_VARIABLE = "KAFKA_BROKER"
@@ -32,10 +33,17 @@ def log_options(topic: str = TOPIC) -> dict[str, str]:
 def read_event_stream(
     spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str
 ) -> DataFrame:
-    """Stream of keyed rows. ``kafka`` needs the connector jar; any file format
-    with the Kafka row shape under ``path`` can stand in for it."""
+    """Stream of keyed rows, from new rows on unless ``startingOffsets`` says otherwise.
+
+    ``kafka`` needs the connector jar. ``keyed_log`` is the log in a folder below ``path``;
+    any file format with the same row shape can stand in for either.
+    """
     if fmt == "kafka":
         return spark.readStream.format(fmt).options(**(log_options() | options)).load()
+    if fmt == keyed_log.FORMAT:
+        keyed_log.register(spark)
+        policy = {k: v for k, v in log_options().items() if k in ("startingOffsets", "failOnDataLoss")}
+        return spark.readStream.format(fmt).options(path=path, **(policy | options)).load()
     return spark.readStream.schema(LOG_ROW).format(fmt).options(**options).load(path)
 
 

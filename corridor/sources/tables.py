@@ -6,11 +6,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corridor.sources.folders import Folder
+
 
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
@@ -40,7 +41,11 @@ def read_table_stream(
 def list_files(
     spark: SparkSession, path: str, pattern: str = "*.parquet", recursive: bool = True
 ) -> DataFrame:
-    """Path, size and modification time of the files below ``path``; contents are not read."""
+    """Path, size and modification time of the files below ``path``; contents are not read.
+
+    Where a file sink has written, Spark lists the files by the sink's commit log: what a
+    failed or unfinished attempt left in the folder is not among them.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
@@ -50,17 +55,19 @@ def list_files(
     )
 
 
-def _paths(files: DataFrame) -> list[str]:
-    return [row["path"] for row in files.select("path").collect()]
-
-
-def read_recent_files(spark: SparkSession, path: str, n: int, **options: str) -> DataFrame:
+def read_recent_files(
+    spark: SparkSession, path: str, n: int, recursive: bool = True, **options: str
+) -> DataFrame:
     """Rows of the ``n`` most recently modified Parquet files below ``path``.
 
     Only the ``n`` names reach the driver. Columns are aligned by name.
     """
-    newest = list_files(spark, path).orderBy(F.desc("modificationTime"), F.desc("path")).limit(n)
-    paths = _paths(newest)
+    newest = (
+        list_files(spark, path, recursive=recursive)
+        .orderBy(F.desc("modificationTime"), F.desc("path"))
+        .limit(n)
+    )
+    paths = [row["path"] for row in newest.select("path").collect()]
     if not paths:
         raise FileNotFoundError(f"no Parquet files below {path}")
     return spark.read.option("mergeSchema", "true").options(**options).parquet(*paths)
@@ -68,12 +75,7 @@ def read_recent_files(spark: SparkSession, path: str, n: int, **options: str) ->
 
 def has_files(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     """Does the folder hold any Parquet file?"""
-    try:
-        return not list_files(spark, path, recursive=recursive).isEmpty()
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    return Folder(spark, path).has() and not list_files(spark, path, recursive=recursive).isEmpty()
 
 
 def read_with_fallback(
@@ -81,13 +83,17 @@ def read_with_fallback(
 ) -> tuple[DataFrame, bool]:
     """The primary table, else the sample, else no rows; and whether it is the sample.
 
-    With ``n`` only the newest ``n`` files are read.
+    With ``n`` only the newest ``n`` files are read. The primary folder is read with all
+    folders below it, the sample without them.
     """
     for path, is_sample in ((primary, False), (sample, True)):
-        if has_files(spark, path, recursive=not is_sample):
-            whole = spark.read.option("recursiveFileLookup", str(not is_sample).lower())
-            rows = read_recent_files(spark, path, n) if n else whole.parquet(path)
-            return rows, is_sample
+        nested = not is_sample
+        if not has_files(spark, path, nested):
+            continue
+        if n:
+            return read_recent_files(spark, path, n, nested), is_sample
+        reader = spark.read.option("recursiveFileLookup", str(nested).lower())
+        return reader.option("pathGlobFilter", "*.parquet").parquet(path), is_sample
     return spark.createDataFrame([], schema), False
 
 

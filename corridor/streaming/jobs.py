@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import threading
+import time
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +13,16 @@ from pyspark.sql.streaming import StreamingQuery
 from corridor.config import DEFAULT, CorridorConfig
 from corridor.operators import scoring
 from corridor.operators.advisories import with_advisories
+from corridor.operators.evaluation import rewarded, step_columns
 from corridor.operators.events import parse_events, validate_events
-from corridor.operators.occupancy import occupancy
+from corridor.operators.occupancy import latest_states, merged_states, occupancy, state_columns
 from corridor.streaming import sinks
+from corridor.streaming.ordered import number_stream
 from corridor.streaming.sinks import AVAILABLE_NOW, Trigger
+from corridor.streaming.versions import STORED_BATCH, Run, Version, Versions
+
+# Folders of the two tables that one query writes.
+SILVER, OCCUPANCY = "silver", "occupancy"
 
 # Keeps window state off the JVM heap and uploads only what a batch changed.
 STATE_SETTINGS = {
@@ -75,12 +83,15 @@ def start_occupancy(
     ``update`` stores changed rows. ``complete`` rewrites the whole result and
     keeps state for ever, so its use is limited to short runs.
     """
-    write = {
-        "append": sinks.write_append,
-        "update": sinks.write_update,
-        "complete": sinks.write_complete,
-    }[mode]
-    return write(occupancy(silver, cfg), path, checkpoint, fmt, trigger)
+    rows = occupancy(silver, cfg)
+    if mode == "update":
+        return sinks.write_update(rows, path, checkpoint, occupancy_keys(cfg), fmt, trigger)
+    write = {"append": sinks.write_append, "complete": sinks.write_complete}[mode]
+    return write(rows, path, checkpoint, fmt, trigger)
+
+
+def occupancy_keys(cfg: CorridorConfig = DEFAULT) -> list[str]:
+    return ["window_start", "window_end", *cfg.keys]
 
 
 def start_silver(
@@ -103,6 +114,62 @@ def start_silver(
     )
 
 
+def start_silver_and_occupancy(
+    bronze: DataFrame,
+    path: str,
+    checkpoint: str,
+    cfg: CorridorConfig = DEFAULT,
+    fmt: str = "parquet",
+    trigger: Trigger = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Both tables from one query, which reads and parses its source once.
+
+    Each batch stores its events, computes the newest state per window and train from
+    those stored rows, and commits both under the number of the batch: readers see the
+    two tables change together, and a repeated batch changes neither. States are maxima,
+    so runs of several batches merge into the result of one aggregate over all events;
+    late events count, and no state is kept between batches.
+    """
+    return (
+        validate_events(bronze, cfg)
+        .writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .foreachBatch(store_silver_and_occupancy(path, cfg, fmt))
+        .start()
+    )
+
+
+def store_silver_and_occupancy(
+    path: str, cfg: CorridorConfig = DEFAULT, fmt: str = "parquet"
+) -> Callable[[DataFrame, int], None]:
+    """What ``start_silver_and_occupancy`` does with each batch of validated events."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        versions = Versions(batch.sparkSession, path, fmt)
+        newest = versions.newest()
+        if newest.batch_id >= batch_id:
+            return
+        stored = versions.append(SILVER, batch_id, batch)
+        run = versions.write(OCCUPANCY, Run(batch_id, batch_id), latest_states(stored, cfg))
+        runs = versions.add(
+            OCCUPANCY, newest.of(OCCUPANCY), run, lambda states: merged_states(states, cfg)
+        )
+        versions.commit(Version(batch_id, {OCCUPANCY: runs}))
+
+    return write
+
+
+def read_silver_and_occupancy(
+    spark: SparkSession, path: str, cfg: CorridorConfig = DEFAULT, fmt: str = "parquet"
+) -> tuple[DataFrame, DataFrame]:
+    """Both tables as of one committed batch."""
+    versions = Versions(spark, path, fmt)
+    silver = versions.read_appended(SILVER).drop(STORED_BATCH)
+    states = versions.read(OCCUPANCY, versions.newest().of(OCCUPANCY))
+    return silver, state_columns(merged_states(states, cfg), cfg)
+
+
 def start_gold(
     occupancy_stream: DataFrame,
     path: str,
@@ -117,6 +184,20 @@ def start_gold(
     )
 
 
+def start_step_rewards(
+    silver: DataFrame,
+    path: str,
+    checkpoint: str,
+    cfg: CorridorConfig = DEFAULT,
+    fmt: str = "parquet",
+    trigger: Trigger = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Append step number, previous speed and reward of every event the watermark passed."""
+    order = ["event_time", "event_id"]
+    numbered = number_stream(step_columns(silver, cfg), cfg.keys, order, ["current_speed_mph"])
+    return sinks.write_append(rewarded(numbered, cfg), path, checkpoint, fmt, trigger)
+
+
 def start_scored(
     gold_stream: DataFrame,
     layers: tuple[scoring.Layer, ...],
@@ -125,10 +206,14 @@ def start_scored(
     cfg: CorridorConfig = DEFAULT,
     fmt: str = "parquet",
     trigger: Trigger = AVAILABLE_NOW,
+    activation: str = "relu",
 ) -> StreamingQuery:
-    """Publish Gold rows with the network's advice as one more column."""
-    scored = scoring.score_policy(scoring.with_features(gold_stream, cfg), layers)
-    return sinks.write_append(scored.drop("obs"), path, checkpoint, fmt, trigger)
+    """Publish Gold rows with the network's advice as one more column.
+
+    Every row is stored under the number of its batch; ``sinks.read_batches`` reads them.
+    """
+    scored = scoring.score_policy(scoring.with_features(gold_stream, cfg), layers, activation)
+    return sinks.write_batches(scored.drop("obs"), path, checkpoint, fmt, trigger)
 
 
 def finish(queries: Iterable[StreamingQuery]) -> None:
@@ -137,18 +222,28 @@ def finish(queries: Iterable[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
-def await_all(spark: SparkSession) -> None:
-    """Run until any query of the session stops or fails."""
-    spark.streams.awaitAnyTermination()
-
+def run_until_stopped(
+    queries: Sequence[StreamingQuery],
+    stop: threading.Event,
+    poll_sec: float = 1.0,
+    grace_sec: float = 60.0,
+) -> None:
+    """Wait until ``stop`` is set, every query has ended, or one has failed.
 
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped in the batches the query still remembers.
-
-    Counted after partial aggregation, so several events can make one row.
+    A failure ends all queries and is raised. On ``stop`` each query may end the batch it
+    is working on; after ``grace_sec`` it is stopped as it is, and its checkpoint repeats
+    that batch at the next start.
     """
-    return sum(
-        state["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
+    try:
+        while not stop.wait(poll_sec):
+            for query in queries:
+                if query.exception() is not None:
+                    raise query.exception()
+            if not any(query.isActive for query in queries):
+                return
+    finally:
+        deadline = time.monotonic() + (grace_sec if stop.is_set() else 0)
+        for query in queries:
+            while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+                time.sleep(0.05)
+            query.stop()

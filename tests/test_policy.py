@@ -1,10 +1,11 @@
 """Features, scoring paths, rewards and episodes."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
-from onnx_file import mlp_bytes
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from corridor.operators import evaluation as ev
 from corridor.operators import scoring
 from corridor.operators.ordering import number_rows, time_bucket
 from corridor.sources.movements import EVENTS, train_events
-from corridor.plans.layers import example_network
+from corridor.plans.layers import example_network, wide_network
 
 
 def features(spark, signal, adherence=0.0):
@@ -48,24 +49,48 @@ def test_argmax_takes_the_first_maximum(spark):
 
 
 @pytest.mark.parametrize("activation", ["relu", "tanh"])
-def test_inline_and_batch_scores_agree(layers, activation):
-    inline = scoring.score_policy(layers.featured, example_network(), activation)
-    batch = scoring.score_policy(
-        layers.featured, example_network(), activation, max_inline_weights=0
-    )
-    row = scoring.score_parity(inline, batch, ["window_start", "train_id"]).first()
+def test_columns_and_batches_agree(layers, activation):
+    columns = scoring.score_columns(layers.featured, example_network(), activation)
+    batches = scoring.score_policy(layers.featured, example_network(), activation)
+    row = scoring.score_parity(columns, batches, ["window_start", "train_id"]).first()
     assert (row.n_rows, row.n_mismatch, row.matches) == (2011, 0, True)
-    assert "Python" not in inline._jdf.queryExecution().executedPlan().toString()
-
-
-def test_model_file(spark, layers, tmp_path):
-    file = tmp_path / "policy.onnx"
-    file.write_bytes(mlp_bytes(example_network()))
-    model = scoring.score_model(layers.featured, str(file))
-    inline = scoring.score_policy(layers.featured, example_network())
-    row = scoring.score_parity(model, inline, ["window_start", "train_id"]).first()
-    # float32 against double may decide near ties differently.
-    assert row.n_rows == 2011 and row.n_mismatch <= 5
+    assert "Python" not in columns._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wide_network_equals_plain_loops(layers):
+    """64 x 64 units, tanh; every output by sums in Python."""
+    network = wide_network()
+    got = scoring.score_policy(layers.featured, network, "tanh").select("obs", scoring.SCORE)
+    seen = set()
+    for obs, speed in got.limit(300).collect():
+        x = list(obs)
+        for depth, layer in enumerate(network):
+            x = [b + sum(w * v for w, v in zip(r, x)) for r, b in zip(layer.weights, layer.bias)]
+            if depth < 2:
+                x = [math.tanh(v) for v in x]
+        assert speed == scoring.SPEED_TARGETS_MPH[x.index(max(x))]
+        seen.add(speed)
+    assert len(seen) > 1
+
+
+def test_observations_that_do_not_fit_give_null(spark):
+    rows = [(1, [0.0] * 8), (2, None), (3, [1.0]), (4, []), (5, [0.5] * 8)]
+    df = spark.createDataFrame(rows, "id int, obs array<double>")
+    got = dict(scoring.score_policy(df, example_network()).select("id", scoring.SCORE).collect())
+    assert [got[i] is None for i in range(1, 6)] == [False, True, True, True, False]
+    assert scoring.score_policy(df.limit(0), example_network()).count() == 0
+
+
+def test_network_features_take_one_shuffle_by_snapshot(layers):
+    featured = scoring.with_network_features(layers.occupancy)
+    plan = featured._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(window_start") <= 2 and "Window" not in plan
+    aspects = {"stop": 0, "approach": 0, "clear": 0}
+    for r in featured.collect():
+        assert r.obs[1:4] == [float(r.derived_aspect == a) for a in aspects]
+        assert r.obs[4] == min(r.n_ahead, 2) / 2
+        aspects[r.derived_aspect] += 1
+    assert all(aspects.values())
 
 
 def test_parity_sees_missing_and_different_rows(spark):

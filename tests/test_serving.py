@@ -1,17 +1,21 @@
 """Serving tables, texts and file sources."""
 
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from corridor.functions import display
 from corridor.operators import quality, serving
 from corridor.operators.advisories import with_advisories
 from corridor.plans import dashboard
+from corridor.plans.layers import Layers
 from corridor.schema import GOLD, OCCUPANCY
 from corridor.session import new_path
 from corridor.sources import tables
+from corridor.streaming.sinks import write_append
 
 T0 = datetime(2026, 1, 1)
 
@@ -88,6 +92,69 @@ def test_fallback(spark):
     assert (df.count(), sample) == (5, False)
 
 
+def test_files_of_a_failed_attempt_do_not_count(spark):
+    """A file sink's folder with files that no batch has committed, the newest of all."""
+    base = new_path(spark, "sink")
+    for i in range(12):
+        spark.range(i, i + 1).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", "1").parquet(f"{base}/in")
+    write_append(stream, f"{base}/t", f"{base}/c").awaitTermination()
+    spark.range(100, 103).write.parquet(f"{base}/stray")
+    strays = [r.path for r in tables.list_files(spark, f"{base}/stray").select("path").collect()]
+    for i, path in enumerate(strays):
+        shutil.copy(path.removeprefix("file:"), f"{base.removeprefix('file:')}/t/part-stray-{i}.parquet")
+    assert tables.list_files(spark, f"{base}/t").count() == 12
+    got = tables.read_recent_files(spark, f"{base}/t", 3)
+    assert got.count() == 3 and got.agg(F.max("id")).first()[0] < 12
+    state, is_sample = tables.read_with_fallback(spark, f"{base}/t", f"{base}/none", GOLD, n=50)
+    assert (state.count(), is_sample) == (12, False)
+
+
+def test_folders_below_the_sample_do_not_count(spark):
+    base = new_path(spark, "nested")
+    spark.range(2).coalesce(1).write.parquet(f"{base}/sample")
+    spark.range(9).coalesce(1).write.parquet(f"{base}/sample/older")
+    for n in (None, 1, 8):
+        df, is_sample = tables.read_with_fallback(spark, f"{base}/none", f"{base}/sample", GOLD, n)
+        assert (df.count(), is_sample) == (2, True)
+    spark.range(9).coalesce(1).write.parquet(f"{base}/primary/deep/er")
+    for n in (None, 1, 8):
+        df, is_sample = tables.read_with_fallback(spark, f"{base}/primary", f"{base}/sample", GOLD, n)
+        assert (df.count(), is_sample) == (9, False)
+
+
+def parses(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+
+
+def test_reports_parse_each_input_once(layers):
+    report = quality.derived_report(layers_of(layers).bronze, layers_of(layers).gold)
+    counts = quality.derived_counts(layers_of(layers).bronze, layers_of(layers).gold)
+    assert parses(report) == 2 and parses(counts) == 2
+
+
+def layers_of(stored):
+    """The same layers, not stored."""
+    return Layers(stored.spark, stored.sf_dir)
+
+
+def test_the_report_in_one_pass_equals_that_of_stored_tables(layers):
+    apart = quality.dq_report(layers.bronze, layers.silver, layers.occupancy, layers.gold)
+    assert rows(quality.derived_report(layers.bronze, layers.gold)) == rows(apart)
+    tables_ = {n: getattr(layers, n) for n in ("bronze", "silver", "occupancy", "gold")}
+    assert rows(quality.derived_counts(layers.bronze, layers.gold)) == rows(quality.table_counts(tables_))
+
+
+def test_the_report_of_empty_layers(spark, layers):
+    report = quality.derived_report(layers.bronze.limit(0), layers.gold.limit(0))
+    failed = {(r.layer, r.check_name) for r in report.where("not passed").collect()}
+    assert failed == {
+        *((layer, "rows_present") for layer in ("bronze", "silver", "occupancy", "gold")),
+        ("occupancy", "trains_expected"),
+        ("all", "failed_checks"),
+    }
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
 def test_formats(spark, fmt):
     path = new_path(spark, fmt)

@@ -108,13 +108,20 @@ def policy_metrics(episodes: DataFrame, by: str = "policy") -> DataFrame:
 
 
 def compare_policies(metrics: DataFrame, base: str, by: str = "policy") -> DataFrame:
-    """Difference of every other policy to the one named ``base``."""
-    reference = metrics.where(F.col(by) == base)
+    """Difference of every other policy to the one named ``base``.
+
+    The figures are computed once: a window over them, one row per policy, finds those of
+    the base. Other policies without a base are an error, not silent nulls.
+    """
+    figures = F.struct("mean_reward", "mean_adherence_sec")
+    all_policies = Window.partitionBy(F.lit(0))
+    found = F.max(F.when(F.col(by) == base, figures)).over(all_policies)
 
     def delta(c: str) -> Column:
-        return F.col(c) - reference.select(c).scalar()
+        absent = F.raise_error(F.lit(f"no figures of the base policy {base!r}")).cast("double")
+        return F.col(c) - F.when(F.col("_base").isNull(), absent).otherwise(F.col("_base")[c])
 
-    return metrics.where(F.col(by) != base).select(
+    return metrics.withColumn("_base", found).where(~F.col(by).eqNullSafe(base)).select(
         by,
         "n_episodes",
         delta("mean_reward").alias("delta_reward"),
@@ -122,6 +129,12 @@ def compare_policies(metrics: DataFrame, base: str, by: str = "policy") -> DataF
     )
 
 
+def finite(value: Column) -> Column:
+    """The value as a double, null unless it is a finite number."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
+
+
 def _by_metric(metrics: Sequence[str], with_value: bool = False) -> Column:
     """One row per metric with its range and, on demand, its value."""
 
@@ -142,8 +155,10 @@ def histogram(
 
     The last bin includes the maximum; empty bins are listed. A group with a
     single value gets the range half a unit either side of it. ``mean`` is the
-    group's mean line.
+    group's mean line. Null, NaN and infinite values lie in no bin and count in no range
+    or mean; a group without any other value lists its bins without edges.
     """
+    episodes = episodes.select(by, *(finite(F.col(m)).alias(m) for m in metrics))
     low, high = F.col("low"), F.col("high")
     flat = F.col("min_value") == F.col("max_value")
     wide = [

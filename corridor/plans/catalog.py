@@ -13,6 +13,7 @@ from corridor.operators import evaluation as ev
 from corridor.operators import network, quality, scoring, serving
 from corridor.operators.advisories import sample_columns
 from corridor.operators.events import explode_blocks_ahead, parse_events, validate_events
+from corridor.operators.ordering import number_rows
 from corridor.plans import dashboard
 from corridor.plans.layers import Layers, edge, example_network, other_network, rounded, wide_network
 from corridor.schema import GOLD, OCCUPANCY, SILVER_EVENT, TRAIN_EVENT
@@ -198,6 +199,28 @@ def rl_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.rl_overlay(latest, scoring.SCORE).drop("differs")
 
 
+def absent_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed of a table that lacks columns: their defaults are shown."""
+    latest = Layers(spark, sf_dir).latest
+    lacking = ["signal_aspect", "speed_mph", "delay_severity", "block_id", "advisory_speed_mph"]
+    return serving.advisory_feed(latest.drop(*lacking))
+
+
+def keyed_log_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per key of the log: rows, partitions, and rows that come before an earlier one."""
+    path = new_path(spark, "log")
+    keyed_log.append_events(Layers(spark, sf_dir).log, path, ["timestamp", "n"])
+    keyed_log.register(spark)
+    rows = spark.read.format(keyed_log.FORMAT).options(path=path).load()
+    times = number_rows(rows.select("partition", "offset", "key", "timestamp"), ["partition"], ["offset"],
+        ["timestamp"], F.floor(F.col("offset") / 10_000))
+    return times.groupBy(F.col("key").cast("string").alias("train_id")).agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("partition").alias("n_partitions"),
+        F.count_if(F.col("prev_timestamp") > F.col("timestamp")).alias("n_disorder"),
+    )
+
+
 def _split_by_window(occupancy: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Even and odd windows; the even ones lack a column."""
     even = F.expr("unix_seconds(window_start) div 10 % 2 = 0")
@@ -516,6 +539,8 @@ QUERIES: dict[str, Query] = {
         corridor_summary,
         marey_series,
         rl_overlay,
+        absent_columns,
+        keyed_log_order,
         union_by_name,
         recent_files_scan,
         dashboard_state,

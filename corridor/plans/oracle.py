@@ -602,6 +602,23 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
                 ELSE 79.0::DOUBLE END END AS rule_speed_mph
             FROM {_on_block("latest_scored", "signal_aspect, rl_advisory_speed_mph")}))""",
     ),
+    "absent_columns": (
+        ("latest",),
+        f"""SELECT train_id, '?' AS block_id, '0 mph' AS speed, 'CLEAR' AS signal,
+          '🟢' AS signal_icon, '79 mph' AS advisory,
+          {_whole("shockwave_delay_sec")} || 's' AS shockwave,
+          CASE WHEN schedule_adherence_sec >= 0 THEN '+' ELSE '' END
+            || {_whole("schedule_adherence_sec")} || 's' AS adherence,
+          CASE WHEN schedule_adherence_sec >= -60 THEN 'green' ELSE 'red' END
+            AS adherence_colour,
+          'NOMINAL' AS severity, '#16a34a' AS severity_colour
+        FROM latest""",
+    ),
+    "keyed_log_order": (
+        ("ev",),
+        """SELECT train_id, count(*) AS n_rows, 1::BIGINT AS n_partitions,
+          0::BIGINT AS n_disorder FROM ev GROUP BY train_id""",
+    ),
     "union_by_name": (
         ("occ",),
         f"""SELECT {OCCUPANCY_COLUMNS.replace("track_grade_pct", "").strip()}

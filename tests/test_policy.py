@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from corridor.operators import evaluation as ev
 from corridor.operators import scoring
 from corridor.operators.ordering import number_rows, time_bucket
 from corridor.sources.movements import EVENTS, train_events
-from corridor.plans.layers import example_network, wide_network
+from corridor.plans.layers import Layers, example_network, wide_network
 
 
 def features(spark, signal, adherence=0.0):
@@ -161,3 +162,39 @@ def test_short_episodes_are_left_out(layers):
     assert steps.agg(F.max("episode_step")).first()[0] == 100
     full = ev.episode_metrics(steps, cfg).count()
     assert full == sum(r["count"] // 100 for r in layers.silver.groupBy("train_id").count().collect())
+
+
+def test_rewards_scan_and_shuffle_the_events_once(layers):
+    """The final plan after running: one scan, one shuffle of events, read twice."""
+    fresh = Layers(layers.spark, layers.sf_dir)
+    steps = ev.with_episodes(ev.step_rewards(fresh.silver))
+    metrics = ev.policy_metrics(fresh.episodes)
+    for df in (steps, fresh.episodes, ev.compare_policies(metrics, "base")):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert final.count("from_json") == 1 and final.count("FileScan") == 1
+        assert "ReusedExchange" in final
+
+
+def test_an_absent_base_policy_is_an_error(spark):
+    rows_ = [("a", 1, 2.0, None), ("b", 2, 3.0, 4.0)]
+    metrics = spark.createDataFrame(
+        rows_, "policy string, n_episodes bigint, mean_reward double, mean_adherence_sec double"
+    )
+    with pytest.raises(PySparkException, match="no figures of the base policy 'c'"):
+        ev.compare_policies(metrics, "c").collect()
+    assert [tuple(r) for r in ev.compare_policies(metrics, "a").collect()] == [("b", 2, 1.0, None)]
+    assert ev.compare_policies(metrics.limit(0), "a").count() == 0
+    assert ev.compare_policies(metrics.where("policy = 'a'"), "a").count() == 0
+
+
+def test_histogram_leaves_out_what_is_no_finite_number(spark):
+    values = [1.0, 2.0, 5.0, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([("p", v) for v in values] + [("q", float("nan"))], "policy string, m double")
+    got = ev.histogram(df, metrics=["m"]).orderBy("policy", "bin").collect()
+    assert len(got) == 40
+    p = [r for r in got if r.policy == "p"]
+    assert sum(r.n for r in p) == 3 and (p[0].bin_low, p[-1].bin_high) == (1.0, 5.0)
+    assert p[0]["mean"] == pytest.approx(8 / 3)
+    assert all((r.n, r.bin_low, r.bin_high, r["mean"]) == (0, None, None, None) for r in got if r.policy == "q")

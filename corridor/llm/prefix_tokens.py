@@ -12,7 +12,8 @@ characters starts a pre-token of its own only if something follows, and an apost
 suffix is one only when it is whole.
 
 Null texts count as empty (no prefixes, 0 tokens); very long texts and words are handled
-like any other; equal rows give equal rows; other columns are ignored.
+like any other; equal rows give equal rows; other columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -40,6 +42,8 @@ from corridor.llm.tokens import (
 )
 
 LIMIT = 512
+#: Longer words are not remembered, which bounds what a worker remembers.
+MEMO_BYTES = 64
 
 _SPLIT = regex.compile(public_tokenizers.PATTERN)
 _SUFFIX = re.compile("'(?:re|ve|ll)")
@@ -50,16 +54,21 @@ class PrefixCounts:
 
     def __init__(self, rank_file: str) -> None:
         self.ranks = ranks(rank_file)
-        self.longest = max(map(len, self.ranks))
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.splits: dict[bytes, tuple[bytes, ...]] = {}
         self.words: dict[str, list[int]] = {}
         self.spaced = SpacedCounts(self)
-
-    def merged(self, text: bytes) -> list[bytes]:
-        """BPE by its definition: merge the pair of lowest rank until none is left."""
+        # Finds the tokens that end at each byte, the longest first.
+        self.endings = ahocorasick.Automaton()
+        for token in self.ranks:
+            self.endings.add_word(token.decode("latin-1"), token)
+        self.endings.make_automaton()
+
+    def merged(self, text: bytes, until: int = 1) -> list[bytes]:
+        """BPE by its definition: merge the pair of lowest rank until none or ``until`` parts are left."""
         rank, never = self.ranks.get, len(self.ranks)
         parts = [text[i : i + 1] for i in range(len(text))]
-        while len(parts) > 1:
+        while len(parts) > until:
             found = [rank(a + b, never) for a, b in zip(parts, parts[1:], strict=False)]
             lowest = min(found)
             if lowest == never:
@@ -68,46 +77,72 @@ class PrefixCounts:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
+    def split(self, token: bytes) -> tuple[bytes, ...]:
+        """The two parts that the last merge of a token joins."""
+        parts = self.splits.get(token)
+        if parts is None:
+            parts = self.splits[token] = tuple(self.merged(token, until=2))
+        return parts
+
     def go_together(self, left: bytes, right: bytes) -> bool:
-        """Whether the tokens stay as they are side by side."""
+        """Whether the tokens stay as they are side by side.
+
+        Their merges are undone, the latest first, down to single bytes. They do not stay
+        if the parts that then meet would have been merged before the merge just undone;
+        of equal merges the one further left is made first.
+        """
+        rank = self.ranks
+        a, b, limit = left, right, len(rank)
+        stays = True
+        while stays:
+            across = rank.get(a + b)
+            if across is not None and across < limit:
+                stays = False
+            elif len(a) > 1 and (len(b) == 1 or rank[a] > rank[b]):
+                limit, a = rank[a], self.split(a)[-1]
+            elif len(b) > 1:
+                limit, b = rank[b] + 1, self.split(b)[0]
+            else:
+                break
         if len(self.pairs) >= MEMO_PIECES:
             self.pairs.clear()
-        known = self.pairs[left, right] = self.merged(left + right) == [left, right]
-        return known
+        self.pairs[left, right] = stays
+        return stays
 
     def of_bytes(self, text: bytes) -> list[int]:
         """Tokens of each prefix of one pre-token, from 1 byte on."""
-        ranks, longest, known = self.ranks, self.longest, self.pairs.get
+        known = self.pairs.get
         counts, last = [0], [b""]
-        for end in range(1, len(text) + 1):
-            for start in range(max(0, end - longest), end):
-                token = text[start:end]
-                if token not in ranks:
+        found = -1
+        for end, token in self.endings.iter(text.decode("latin-1")):
+            if end == found:
+                continue
+            start = end + 1 - len(token)
+            if start:
+                together = known((last[start], token))
+                if together is None:
+                    together = self.go_together(last[start], token)
+                if not together:
                     continue
-                if start:
-                    together = known((last[start], token))
-                    if together is None:
-                        together = self.go_together(last[start], token)
-                    if not together:
-                        continue
-                counts.append(counts[start] + 1)
-                last.append(token)
-                break
+            counts.append(counts[start] + 1)
+            last.append(token)
+            found = end
         return counts[1:]
 
     def of_word(self, word: str) -> list[int]:
         """Tokens of each prefix of one pre-token, by code points."""
         known = self.words.get(word)
         if known is None:
-            if len(self.words) >= MEMO_PIECES:
-                self.words.clear()
             raw = word.encode()
             known = self.of_bytes(raw)
             if _SUFFIX.fullmatch(word):
                 known[1] = 2
             if len(raw) != len(word):
                 known = [n for n, b in zip(known, raw[1:] + b"a", strict=True) if b & 0xC0 != 0x80]
-            self.words[word] = known
+            if len(raw) <= MEMO_BYTES:
+                if len(self.words) >= MEMO_PIECES:
+                    self.words.clear()
+                self.words[word] = known
         return known
 
     def along(self, words: list[str]) -> array:
@@ -161,9 +196,11 @@ class SpacedCounts(dict):
         self.counter = counter
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMO_PIECES:
-            self.clear()
-        value = self[word] = self.counter.along(_SPLIT.findall(" " + word)).tobytes()
+        value = self.counter.along(_SPLIT.findall(" " + word)).tobytes()
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= MEMO_PIECES:
+                self.clear()
+            self[word] = value
         return value
 
 

@@ -475,3 +475,27 @@ def test_scores_of_awkward_texts(docs, labels):
         found = rows.collect()
         assert len(found) == len(some_texts())
         assert all(0 <= r["score"] <= 1 and r["predicted"] in (0, 1) for r in found)
+
+
+def test_tokens_that_stay_side_by_side():
+    """Undoing merges gives the same answer as merging from single bytes."""
+    counter = prefix_tokens.PrefixCounts(vocabulary_file("tiktoken"))
+    rng = random.Random(8)
+    every = list(counter.ranks)
+    words = [w.encode() for w in (*WORDS, "aaaa", "aa", "a", "  ", "ing", "ling", "erer", "er")]
+    tokens = [t for w in words for t in counter.merged(w)] + rng.sample(every, 300)
+    stays = 0
+    for _ in range(6000):
+        left, right = rng.choice(tokens), rng.choice(tokens)
+        want = counter.merged(left + right) == [left, right]
+        assert counter.go_together(left, right) == want, (left, right)
+        stays += want
+    assert 500 < stays < 5900
+
+
+def test_long_words_are_not_remembered():
+    counter = prefix_tokens.PrefixCounts(vocabulary_file("tiktoken"))
+    text = "x" * 5000 + " " + "y" * 5000 + " short"
+    assert len(counter.of_text(text)) == len(text)
+    assert max(map(len, counter.words)) <= prefix_tokens.MEMO_BYTES + 1
+    assert max(map(len, counter.spaced)) <= prefix_tokens.MEMO_BYTES

@@ -2,27 +2,21 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import NamedTuple
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corridor.config import DEFAULT
 
-
-class Wave(NamedTuple):
-    """Delay = lateness_share * lateness + fixed_sec + slowness_sec * slowness."""
-
-    lateness_share: float
-    fixed_sec: float
-    slowness_sec: float
-
-
-# Coefficients per aspect, severity limits, speed share.
-WAVES = {"stop": Wave(1.0, 120.0, 60.0), "approach": Wave(0.5, 30.0, 20.0)}
-OPEN_TRACK_WAVE = Wave(0.1, 0.0, 0.0)
-SEVERITY_ABOVE_SEC = {"critical": 180.0, "moderate": 60.0}
+# What each aspect adds to a train's own lateness, by how much a slow train
+# adds more, severity limits, and the share of its speed a train keeps at approach.
+STOP_SEC = 120.0
+STOP_SLOW_SEC = 60.0
+APPROACH_LATENESS_SHARE = 0.5
+APPROACH_SEC = 30.0
+APPROACH_SLOW_SEC = 20.0
+OPEN_TRACK_LATENESS_SHARE = 0.1
+CRITICAL_ABOVE_SEC = 180.0
+MODERATE_ABOVE_SEC = 60.0
 APPROACH_SPEED_SHARE = 0.6
 
 
@@ -37,24 +31,19 @@ def speed_factor(speed: Column, max_speed: float = DEFAULT.max_speed_mph) -> Col
     return F.greatest(F.lit(0.0), (limit - speed) / limit)
 
 
-def _wave_delay(wave: Wave, lateness: Column, slowness: Column) -> Column:
-    terms = [lateness if wave.lateness_share == 1.0 else lateness * F.lit(wave.lateness_share)]
-    if wave.fixed_sec:
-        terms.append(F.lit(wave.fixed_sec))
-    if wave.slowness_sec:
-        terms.append(slowness * F.lit(wave.slowness_sec))
-    return reduce(lambda total, term: total + term, terms)
-
-
 def shockwave_delay(signal: Column, lateness: Column, slowness: Column) -> Column:
     """Delay a train passes upstream. Unknown aspects count as open track."""
-    open_track = _wave_delay(OPEN_TRACK_WAVE, lateness, slowness)
-    return reduce(
-        lambda rest, aspect: F.when(
-            signal == aspect, _wave_delay(WAVES[aspect], lateness, slowness)
-        ).otherwise(rest),
-        reversed(WAVES),
-        open_track,
+    at_stop = lateness + F.lit(STOP_SEC) + slowness * F.lit(STOP_SLOW_SEC)
+    at_approach = (
+        lateness * F.lit(APPROACH_LATENESS_SHARE)
+        + F.lit(APPROACH_SEC)
+        + slowness * F.lit(APPROACH_SLOW_SEC)
+    )
+    on_open_track = lateness * F.lit(OPEN_TRACK_LATENESS_SHARE)
+    return (
+        F.when(signal == "stop", at_stop)
+        .when(signal == "approach", at_approach)
+        .otherwise(on_open_track)
     )
 
 
@@ -62,16 +51,17 @@ def advisory_speed(
     signal: Column, speed: Column, max_speed: float = DEFAULT.max_speed_mph
 ) -> Column:
     """Rule-based target speed in mph."""
-    slowed = F.when(signal == "approach", speed * F.lit(APPROACH_SPEED_SHARE))
-    return F.when(signal == "stop", F.lit(0.0)).otherwise(
-        slowed.otherwise(F.lit(float(max_speed)))
+    return (
+        F.when(signal == "stop", F.lit(0.0))
+        .when(signal == "approach", speed * F.lit(APPROACH_SPEED_SHARE))
+        .otherwise(F.lit(float(max_speed)))
     )
 
 
 def delay_severity(delay: Column) -> Column:
     """Severity class; limits are exclusive and an unknown delay is nominal."""
-    return reduce(
-        lambda rest, name: F.when(delay > SEVERITY_ABOVE_SEC[name], name).otherwise(rest),
-        reversed(SEVERITY_ABOVE_SEC),
-        F.lit("nominal"),
+    return (
+        F.when(delay > CRITICAL_ABOVE_SEC, "critical")
+        .when(delay > MODERATE_ABOVE_SEC, "moderate")
+        .otherwise("nominal")
     )

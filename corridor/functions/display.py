@@ -6,14 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What the serving tables show per code.
-GREEN, AMBER, RED, DARK_GREEN, GREY, PURPLE = (
-    "#16a34a",
-    "#ca8a04",
-    "#dc2626",
-    "#166534",
-    "#6b7280",
-    "#7c3aed",
-)
+GREEN = "#16a34a"
+AMBER = "#ca8a04"
+RED = "#dc2626"
+DARK_GREEN = "#166534"
+GREY = "#6b7280"
+PURPLE = "#7c3aed"
 ASPECT_COLOUR = {"clear": GREEN, "approach": AMBER, "stop": RED}
 ASPECT_LABEL = {"clear": "CLR", "approach": "APP", "stop": "STP"}
 ASPECT_ICON = {"clear": "🟢", "approach": "🟡", "stop": "🔴"}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,7 +24,8 @@ OBSERVATION = (
 ADHERENCE_SCALE_SEC = 300.0
 GRADE_SCALE_PCT = 3.0
 MAX_AHEAD = 2
-RULE_ACTION = {"is_stop": 0, "is_approach": 1}
+STOP_ACTION = 0
+APPROACH_ACTION = 1
 FREE_ACTION = 4
 
 
@@ -70,13 +70,9 @@ def observation(
 
 def rule_policy(obs: Column) -> Column:
     """Fixed three-aspect policy: an action id from the one-hot aspect."""
-    return reduce(
-        lambda rest, flag: F.when(
-            obs[OBSERVATION.index(flag)] > 0.5, RULE_ACTION[flag]
-        ).otherwise(rest),
-        reversed(RULE_ACTION),
-        F.lit(FREE_ACTION),
-    )
+    is_stop = obs[OBSERVATION.index("is_stop")] > 0.5
+    is_approach = obs[OBSERVATION.index("is_approach")] > 0.5
+    return F.when(is_stop, STOP_ACTION).when(is_approach, APPROACH_ACTION).otherwise(FREE_ACTION)
 
 
 def argmax_action(logits: Column) -> Column:

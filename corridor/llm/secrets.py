@@ -105,6 +105,8 @@ ALLOWED = (
     "^(?:[A-Z]?[a-z]+[-_])+[A-Z]?[a-z]*[0-9]{0,4}$",  # words joined by dashes
 )
 
+#: Windows of a string whose counts are carried from one to the next.
+BLOCK = 64
 _SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -152,7 +154,30 @@ def base_spans(text: Column, pattern: Pattern) -> Column:
 
 
 def hot_windows(value: Column, cls: EntropyClass) -> Column:
-    """Starts (from 1) of the windows of ``value`` with enough entropy, in order."""
+    """Starts (from 1) of the windows of ``value`` with enough entropy, in order.
+
+    A long string is worked on in blocks of ``BLOCK`` windows. What one step of the counts
+    costs grows with the string it walks, so blocks keep the whole in proportion.
+    """
+    starts = F.sequence(F.lit(0), F.length(value) - cls.window, F.lit(BLOCK))
+    # The parts are cut out first: what a function refers to is computed at every use.
+    blocks = F.transform(
+        starts,
+        lambda before: F.struct(
+            before.alias("before"),
+            F.substring(value, before + 1, F.lit(BLOCK + cls.window - 1)).alias("part"),
+        ),
+    )
+    hot = F.transform(
+        blocks,
+        lambda b: F.transform(_hot_in_block(b["part"], cls), lambda start: start + b["before"]),
+    )
+    return F.when(F.length(value) >= cls.window, F.flatten(hot)).otherwise(
+        F.array().cast("array<int>")
+    )
+
+
+def _hot_in_block(value: Column, cls: EntropyClass) -> Column:
     f = F.array(*map(F.lit, cls.table))
     size, letters = cls.window, len(cls.alphabet)
 
@@ -248,16 +273,25 @@ def _listed(spans: Column) -> Column:
     )
 
 
-def find_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with the array columns ``base`` and ``added`` of spans (kind, start, end)."""
+def find_secrets(docs: DataFrame, base: str = "base", added: str = "added") -> DataFrame:
+    """``docs`` with two more array columns of spans (kind, start, end), under free names."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = F.concat(*(base_spans(text, p) for p in PATTERNS))
-    found = docs.withColumn("base", base)
+    for name in (base, added):
+        if name.lower() in (c.lower() for c in docs.columns):
+            raise ValueError(f"the documents have a column {name!r} of their own")
+    found = docs.withColumn(base, F.concat(*(base_spans(text, p) for p in PATTERNS)))
     return found.withColumn(
-        "added", F.concat(*(entropy_spans(text, F.col("base"), c) for c in ENTROPY))
+        added, F.concat(*(entropy_spans(text, F.col(base), c) for c in ENTROPY))
     )
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """Per document: base spans by kind, their digest and the list of all spans."""
 
@@ -273,10 +307,14 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
 
 def mask_secrets(docs: DataFrame, mask: str = "<secret>") -> DataFrame:
-    """Documents with every span replaced; overlapping spans share one mask."""
+    """Documents with every span replaced; overlapping spans share one mask.
+
+    All columns stay, whatever their names.
+    """
+    base, added = _free(docs, "base"), _free(docs, "added")
     spans = F.array_sort(
         F.transform(
-            F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
+            F.concat(base, added), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
         )
     )
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
@@ -296,7 +334,7 @@ def mask_secrets(docs: DataFrame, mask: str = "<secret>") -> DataFrame:
         lambda state: F.concat(state["done"], F.substring(F.col("text"), state["at"] + 1, F.length("text"))),
     )
     changed = F.when(F.size(spans) > 0, masked).otherwise(F.col("text"))
-    return find_secrets(docs).withColumn("text", changed).select(*docs.columns)
+    return find_secrets(docs, base, added).withColumn("text", changed).select(*docs.columns)
 
 
 def oracle() -> str:

@@ -12,10 +12,11 @@ Altschul for the word scores of clean texts, K is its maximum-likelihood value.
 are normalised with it, and a logistic function of the best and of the sum over all
 significant ones gives the score.
 
-Learning uses at most ``TRAIN_ROWS`` labelled rows (smallest hashes of ``doc_id``) and
-keeps at most ``LEXICON`` words; both are parameters. All texts are scored whole, without
-a shuffle. Null and empty texts have no segments and get the lowest score. Equal rows
-give equal scores. Without labelled rows all scores are 0. Other columns are not read.
+Learning uses at most ``TRAIN_ROWS`` labelled rows (smallest hashes of ``doc_id``), a
+parameter, whole; labels other than 0 and 1 are left out. All texts are scored whole,
+without a shuffle. Null and empty texts have no segments and get the lowest score. Equal
+rows give equal scores. Without labelled rows all scores are 0, an empty table gives an
+empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ from corridor.llm.batches import id_and_text, slices, utf8
 from corridor.llm.byte_cnn import held_out, learns
 
 TRAIN_ROWS = 6000
-LEXICON = 20_000
 #: The prior of a word: a flat part, and its share of this many words.
 FLAT, PRIOR = 0.5, 500.0
 #: Least standard deviations of a log-odds from 0.
@@ -67,9 +67,12 @@ def maximal_segments(scores: list[tuple[int, float]], drift: float) -> list[Segm
     """All maximal-scoring segments; ``scores`` has (place, score) of the words that differ from ``-drift``.
 
     Each candidate keeps the total before it and up to its end. A new one is joined to the
-    last earlier candidate that began lower, unless that one also ended as high.
+    last earlier candidate that began lower, unless that one also ended as high. The place
+    of that earlier candidate is kept too: a search goes from there, since all candidates
+    in between began no lower, and so passes each candidate at most once in all.
     """
-    found: list[tuple[int, int, float, float]] = []  # start, end, total before, total after
+    # start, end, total before, total after, last earlier candidate that began lower
+    found: list[tuple[int, int, float, float, int]] = []
     total, next_place = 0.0, 0
     for place, score in scores:
         total -= drift * (place - next_place)
@@ -78,17 +81,17 @@ def maximal_segments(scores: list[tuple[int, float]], drift: float) -> list[Segm
         if score <= 0:
             continue
         start, left = place, before
-        j = len(found) - 1
+        lower = len(found) - 1
         while True:
-            while j >= 0 and found[j][2] >= left:
-                j -= 1
-            if j < 0 or found[j][3] >= total:
+            while lower >= 0 and found[lower][2] >= left:
+                lower = found[lower][4]
+            if lower < 0 or found[lower][3] >= total:
                 break
-            start, left = found[j][0], found[j][2]
-            del found[j:]
-            j -= 1
-        found.append((start, place + 1, left, total))
-    return [Segment(start, end, right - left) for start, end, left, right in found]
+            start, _, left, _, earlier = found[lower]
+            del found[lower:]
+            lower = earlier
+        found.append((start, place + 1, left, total, lower))
+    return [Segment(start, end, right - left) for start, end, left, right, _ in found]
 
 
 @dataclass(frozen=True)
@@ -122,7 +125,7 @@ class Model:
 
 def _labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     named = (
-        labels.where(F.col(label).isNotNull() & learns(F.col("doc_id")))
+        labels.where(F.col(label).isin(0, 1) & learns(F.col("doc_id")))
         .select("doc_id", F.col(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(rows)
@@ -130,7 +133,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> Data
     return id_and_text(docs).join(F.broadcast(named), "doc_id").select("label", "text")
 
 
-def lexicon(labelled: DataFrame, size: int = LEXICON) -> tuple[dict[bytes, float], float]:
+def lexicon(labelled: DataFrame) -> tuple[dict[bytes, float], float]:
     """Significant words with their log-odds, and what they make of clean words at most.
 
     The second value is the rate L of the extreme-value law.
@@ -171,10 +174,10 @@ def lexicon(labelled: DataFrame, size: int = LEXICON) -> tuple[dict[bytes, float
         counted.withColumn("odds", odds("toxic", n_toxic) - odds("clean", n_clean))
         .withColumn("z", F.col("odds") / spread)
         .where(F.abs("z") >= SIGNIFICANT)
-        .orderBy(F.desc(F.abs("z")), "word")
-        .limit(size)
         .collect()
     )
+    # In a fixed order, so that sums do not depend on that of the rows.
+    rows = sorted(rows, key=lambda r: bytes(r["word"]))
     scores = {bytes(r["word"]): r["odds"] - DRIFT for r in rows}
     # Frequencies in clean texts, with the prior so that none is 0.
     weights = np.array([r["clean"] + FLAT + share * (r["clean"] + r["toxic"]) for r in rows])
@@ -211,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TR
             out = []
             for text in utf8(batch.column(1)):
                 words = words_of(text)
-                found = sorted((s.score for s in bare.segments(words)), reverse=True)[:20]
+                found = sorted((s.score for s in bare.segments(words)), reverse=True)
                 out.append((len(words), found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.list_(pa.float64()))],

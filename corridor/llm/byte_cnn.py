@@ -11,7 +11,8 @@ hashes of ``doc_id``; both labels weigh the same) and on at most ``TRAIN_CHUNKS`
 each, spread evenly over its text. Both bounds are parameters; scoring has none.
 
 Null and empty texts are one chunk of padding and get the score of that. Equal rows give
-equal scores. Without any labelled row every score is 0.5. Other columns are not read.
+equal scores. Labels other than 0 and 1 are left out. Without any labelled row every score
+is 0.5, an empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -158,7 +159,7 @@ def training_rows(
 ) -> tuple[list[bytes], np.ndarray]:
     """At most ``rows`` texts of learning folds, at most ``chunks`` chunks of each."""
     named = (
-        labels.where(F.col(label).isNotNull() & learns(F.col("doc_id")))
+        labels.where(F.col(label).isin(0, 1) & learns(F.col("doc_id")))
         .select("doc_id", F.col(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(rows)

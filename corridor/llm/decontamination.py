@@ -135,32 +135,51 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     )
 
 
+def _by_digest(docs: DataFrame) -> DataFrame:
+    """The texts under their own digest, in the place of an id."""
+    return docs.select(F.sha2("text", 256).alias("doc_id"), "text")
+
+
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without any hit, all columns kept. A null ``doc_id`` has no hits to match."""
+    """The documents without any hit, all columns kept.
+
+    Each row is decided by its own text: hits are looked up by the digest of the text, so
+    null and repeated ids do not matter. A null text has no hits.
+    """
+    name = _fresh(docs, "_hit")
     hit = stored(
-        find_hits(docs, benchmark, window)
+        find_hits(_by_digest(docs), benchmark, window)
         .where(F.size("hits") > 0)
-        .select(F.col("doc_id").alias("_hit"))
+        .select(F.col("doc_id").alias(name))
         .distinct(),
         "hits",
     )
-    hit = small_side(hit)
-    return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
+    return docs.join(small_side(hit), F.sha2(docs["text"], 256) == F.col(name), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """All documents, hit words and what separates them cut out of ``text``.
 
-    Each cut leaves one line feed. Documents with the same ``doc_id`` share their cuts.
+    Each cut leaves one line feed. As in ``remove_documents`` each row is decided by its
+    own text.
     """
+    name, cuts = _fresh(docs, "_hit"), _fresh(docs, "_cut")
     hits = stored(
-        find_hits(docs, benchmark, window)
+        find_hits(_by_digest(docs), benchmark, window)
         .where(F.size("hits") > 0)
-        .groupBy(F.col("doc_id").alias("_hit"))
-        .agg(F.array_distinct(F.flatten(F.collect_set(hit_words(F.col("hits"))))).alias("_cut")),
+        .groupBy(F.col("doc_id").alias(name))
+        .agg(F.first(hit_words(F.col("hits"))).alias(cuts)),
         "hits",
     )
-    places = hits["_cut"]
+    places = F.col(cuts)
     parts, gaps = F.split("text", _NO_WORD), F.regexp_extract_all("text", F.lit(_NO_WORD), F.lit(0))
     lead = F.when(F.element_at(parts, 1) == "", 0).otherwise(1)
     pieces = F.transform(
@@ -170,13 +189,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
         ),
     )
     cut = F.regexp_replace(F.array_join(pieces, ""), r"\n{2,}", "\n")
-    return docs.join(hits, docs["doc_id"] == hits["_hit"], "left").select(
-        *(
-            F.when(places.isNull(), F.col("text")).otherwise(cut).alias("text")
-            if c == "text"
-            else docs[c]
-            for c in docs.columns
-        )
+    joined = docs.join(hits, F.sha2(docs["text"], 256) == F.col(name), "left")
+    return joined.withColumn("text", F.when(places.isNull(), F.col("text")).otherwise(cut)).select(
+        *docs.columns
     )
 
 

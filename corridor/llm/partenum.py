@@ -26,7 +26,8 @@ their numbers in 512; the last comparison has the parities in its join's conditi
 hashes).
 
 Null and empty texts have no shingles and are alone. Texts of fewer words than a shingle
-are one shingle. Repeated rows fall into the same class. Other columns are not read.
+are one shingle. Repeated rows fall into the same class. An empty table gives an empty
+result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -406,8 +407,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without near copies: of each component the smallest ``doc_id`` stays.
 
-    Rows with the same ``doc_id`` and text count as one. All columns are kept.
+    Rows with the same ``doc_id`` and text count as one. Rows without ``doc_id`` count as
+    later than all others, each by itself; theirs stays null. All columns are kept.
     """
+    unnamed = docs.where(F.col("doc_id").isNull())
+    if unnamed.isEmpty():
+        return _one_of_each(docs)
+    largest = docs.agg(F.max("doc_id").cast("bigint")).first()[0] or 0
+    # Numbered once and stored, so that the numbers hold for all that follows.
+    later = (F.lit(largest) + 1 + F.monotonically_increasing_id()).cast("bigint")
+    numbered = stored(unnamed.withColumn("doc_id", later), "numbered")
+    kept = _one_of_each(docs.where(F.col("doc_id").isNotNull()).unionByName(numbered))
+    return kept.withColumn("doc_id", F.when(F.col("doc_id") <= largest, F.col("doc_id")))
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
     found = stored(jaccard_components(docs), "components")
     away = stored(
         found.where(F.col("doc_id") != F.col("component_id"))

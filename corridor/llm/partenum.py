@@ -20,10 +20,12 @@ Equal sets are one class from the start. Classes that share a signature are firs
 compared with leaders of the group only: those with most signatures in common with others
 (copies with few changes of their own), then some drawn by hash, each class with the few
 leaders it shares most signatures with. Verified pairs give components, and only pairs
-whose components still differ are compared at last. Before texts are read, two exact lower
-bounds of the difference drop pairs: counts of shingles in 64 buckets, and the parities of
-their numbers in 512; the last comparison has the parities in its join's condition. Verification counts shared shingles of the whole texts (64-bit
-hashes).
+whose components still differ are compared at last. A pair that shares many signatures is
+made at the first of them only: every set knows its smallest ``FIRST`` signatures, and a
+pair is left to a smaller one that both know. Before texts are read, an exact lower bound
+of the difference drops pairs: the parities of the numbers of shingles in buckets, at least
+four for each shingle; 512 such parities are in the condition of the last join.
+Verification counts shared shingles of the whole texts (64-bit hashes).
 
 Null and empty texts have no shingles and are alone. Texts of fewer words than a shingle
 are one shingle. Repeated rows fall into the same class. An empty table gives an empty
@@ -47,7 +49,10 @@ from corridor.llm.stored import components, small_side, stored
 
 SHINGLE = 5
 BAND = 8
-BUCKETS, PARITIES = 64, 512
+#: Parities known in the last join, and the most that a set's sketch holds.
+PARITIES, MOST_PARITIES = 512, 1 << 17
+#: Smallest signatures that a set knows of itself when pairs are made.
+FIRST = 8
 #: Leaders drawn by hash in the second round, and leaders a class is compared with.
 DRAWN, PARTNERS = 4, (2, 4)
 #: Bits of the map of common shingles.
@@ -75,6 +80,24 @@ def set_id(found: np.ndarray) -> int:
     return int(np.uint64(xxh3_64_intdigest(found.tobytes())).astype(np.int64))
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles in buckets, four or more for each, as bytes."""
+    n = min(MOST_PARITIES, max(PARITIES, 1 << (4 * len(found)).bit_length()))
+    at = ((found >> np.uint64(24)) % np.uint64(n)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=n) & 1).astype(bool))
+
+
+def folded(sketched: np.ndarray, n_bytes: int) -> np.ndarray:
+    """The parities of fewer, wider buckets."""
+    return np.bitwise_xor.reduce(sketched.reshape(-1, n_bytes), axis=0)
+
+
+def least_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """Elements in which the sets of two sketches differ at least."""
+    n_bytes = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, n_bytes) ^ folded(y, n_bytes)).sum())
+
+
 def most_differing(size: int) -> int:
     """Elements in which a set of ``size`` can differ from one it is linked with."""
     return (size + 4 * size // 3) // 7
@@ -121,7 +144,7 @@ def signatures(found: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _features(docs: DataFrame) -> DataFrame:
-    """Per document its set's size, name and bucket counts; extra rows list common shingles."""
+    """Per document its set's size, name and parities; extra rows list common shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, waiting, n_waiting = WordHashes(), [], 0
@@ -131,35 +154,32 @@ def _features(docs: DataFrame) -> DataFrame:
             values = values[counts >= COMMON_COUNT] % np.uint64(COMMON_BITS)
             return np.unique(values).astype(np.int32).tolist()
 
-        def out(ids, sizes, names, buckets, parities, listed) -> pa.RecordBatch:
+        def out(ids, sizes, names, sketches, parities, listed) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.int64()),
-                    pa.array(buckets, pa.list_(pa.int8())),
+                    pa.array(sketches, pa.binary()),
                     pa.array(parities, pa.list_(pa.int64())),
                     pa.array(listed, pa.list_(pa.int32())),
                 ],
-                ["doc_id", "n_shingles", "set_id", "buckets", "parities", "common"],
+                ["doc_id", "n_shingles", "set_id", "sketch", "parities", "common"],
             )
 
         for batch in slices(batches):
-            sizes, names, buckets, parities = [], [], [], []
+            sizes, names, sketches, parities = [], [], [], []
             for text in utf8(batch.column(1)):
                 found = shingles(text, hashes)
                 sizes.append(len(found))
                 names.append(set_id(found) if len(found) else None)
-                counts = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=BUCKETS)
-                buckets.append(np.minimum(counts, 127).astype(np.int8))
-                odd = np.bincount(
-                    ((found >> np.uint64(40)) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES
-                )
-                parities.append(np.packbits((odd & 1).astype(bool)).view(np.int64))
+                odd = sketch(found)
+                sketches.append(odd.tobytes())
+                parities.append(folded(odd, PARITIES // 8).view(np.int64))
                 waiting.append(found)
                 n_waiting += len(found)
             ids = batch.column(0).to_pylist()
-            yield out(ids, sizes, names, buckets, parities, [None] * len(sizes))
+            yield out(ids, sizes, names, sketches, parities, [None] * len(sizes))
             if n_waiting >= COMMON_WINDOW:
                 yield out([None], [None], [None], [None], [None], [common()])
                 waiting, n_waiting = [], 0
@@ -168,7 +188,7 @@ def _features(docs: DataFrame) -> DataFrame:
 
     return id_and_text(docs).mapInArrow(
         run,
-        "doc_id bigint, n_shingles bigint, set_id bigint, buckets array<tinyint>,"
+        "doc_id bigint, n_shingles bigint, set_id bigint, sketch binary,"
         " parities array<bigint>, common array<int>",
     )
 
@@ -220,27 +240,37 @@ def _signed(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "signature bigint, set_id bigint, size int")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those of the stored ``pairs`` (a, b) of set ids that are linked."""
-    side = classes.select("set_id", "size", "doc", "buckets", "parities")
-    a, b = (
-        side.select(*(F.col(c).alias(f"{c}_{x}") for c in side.columns)) for x in "ab"
+def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the stored ``pairs`` (a, b) that their sizes and sketches do not rule out."""
+    known = stored(pairs.select(F.explode(F.array("a", "b")).alias("_known")).distinct(), "known")
+    side = classes.join(small_side(known), F.col("set_id") == F.col("_known"), "left_semi").select(
+        "set_id", "size", "doc", "sketch"
     )
-    def summed(name: str, differ) -> Column:
-        each = F.zip_with(f"{name}_a", f"{name}_b", differ)
-        return F.aggregate(each, F.lit(0), lambda total, x: total + x)
+    a, b = (side.select(*(F.col(c).alias(f"{c}_{x}") for c in side.columns)) for x in "ab")
 
-    apart = F.greatest(
-        summed("buckets", lambda x, y: F.abs(x.cast("int") - y.cast("int"))),
-        summed("parities", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")),
-    )
-    close = stored(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (batch.column(f"sketch_{s}") for s in "ab")
+            most = np.add(*(batch.column(f"size_{s}").to_numpy() for s in "ab")) // 7
+            apart = [
+                least_apart(*(np.frombuffer(c[i].as_buffer(), np.uint8) for c in (x, y)))
+                for i in range(batch.num_rows)
+            ]
+            kept = batch.filter(pa.array(np.array(apart, np.int64) <= most, pa.bool_()))
+            yield kept.select(["a", "b", "doc_a", "doc_b"])
+
+    return (
         pairs.join(a, F.col("a") == F.col("set_id_a"))
         .join(b, F.col("b") == F.col("set_id_b"))
-        .where((7 * apart <= F.col("size_a") + F.col("size_b")) & _sizes_fit("size_a", "size_b"))
-        .select("a", "b", "doc_a", "doc_b"),
-        "close",
+        .where(_sizes_fit("size_a", "size_b"))
+        .select("a", "b", "doc_a", "doc_b", "size_a", "size_b", "sketch_a", "sketch_b")
+        .mapInArrow(run, "a bigint, b bigint, doc_a bigint, doc_b bigint")
     )
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the stored ``pairs`` (a, b) of set ids that are linked."""
+    close = stored(_close(pairs, classes), "close")
     needed = stored(
         close.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")).distinct(), "needed"
     )
@@ -325,17 +355,30 @@ def _with_leaders(groups: DataFrame, orders: list[Column], partners: int) -> Dat
     )
 
 
-def _across(groups: DataFrame, classes: DataFrame) -> DataFrame:
+def _meetings(groups: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of sets in one group, of different components, that may be linked.
 
     The parities are part of the join's condition, so a pair whose known difference is too
-    large for a link is no row, neither shuffled nor written.
+    large for a link is no row, neither shuffled nor written. So are the first signatures:
+    a pair that shares one of them below the group's own is a row of that group instead.
+    The smallest signature that two sets share is never left out.
     """
     odd = [f"odd{i}" for i in range(PARITIES // 64)]
     known = classes.select("set_id", *(F.col("parities")[i].alias(c) for i, c in enumerate(odd)))
-    members = groups.join(known, "set_id")
+    smallest = Window.partitionBy("set_id").orderBy("signature")
+    first = (
+        groups.select("set_id", "signature", F.row_number().over(smallest).alias("_at"))
+        .where(F.col("_at") <= FIRST)
+        .groupBy("set_id")
+        .agg(F.collect_list("signature").alias("first"))
+    )
+    members = groups.join(first.join(known, "set_id"), "set_id").withColumn(
+        "earlier", F.filter("first", lambda s: s < F.col("signature"))
+    )
     x, y = (
-        members.select("signature", *(F.col(c).alias(f"{c}_{s}") for c in ("set_id", "size", "component", *odd)))
+        members.select(
+            "signature", *(F.col(c).alias(f"{c}_{s}") for c in ("set_id", "size", "component", "earlier", *odd))
+        )
         for s in "xy"
     )
     apart = reduce(add, (F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in odd))
@@ -345,12 +388,17 @@ def _across(groups: DataFrame, classes: DataFrame) -> DataFrame:
             (F.col("component_x") < F.col("component_y"))
             & _sizes_fit("size_x", "size_y")
             & (7 * apart <= F.col("size_x") + F.col("size_y"))
+            & ~F.arrays_overlap("earlier_x", "earlier_y")
         )
         .select(F.col("set_id_x").alias("a"), F.col("set_id_y").alias("b"))
-        .distinct()
     )
 
 
+def _across(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs of ``_meetings``, each once."""
+    return _meetings(groups, classes).distinct()
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """Per document ``n_shingles`` and ``component_id``, the smallest ``doc_id`` it is linked with."""
     docs = id_and_text(docs)
@@ -359,7 +407,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     classes = of_docs.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
         F.min("doc_id").alias("doc"),
         F.min("n_shingles").cast("int").alias("size"),
-        F.min("buckets").alias("buckets"),
+        F.min("sketch").alias("sketch"),
         F.min("parities").alias("parities"),
     )
     classes = stored(classes, "classes")

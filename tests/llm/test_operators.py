@@ -379,6 +379,37 @@ def test_signatures_are_shared_by_linked_sets():
     assert linked > 100
 
 
+def test_a_pair_with_many_signatures_in_common_is_made_about_once(spark):
+    rng = np.random.default_rng(4)
+    n_sets, pool = 30, np.arange(300) + 1000
+    own = [sorted(rng.permutation(pool)[:200].tolist()) for _ in range(n_sets)]
+    groups = spark.createDataFrame(
+        [(s, i, 200, i) for i, signed in enumerate(own) for s in signed],
+        "signature bigint, set_id bigint, size int, component bigint",
+    )
+    none = [0] * (partenum.PARITIES // 64)
+    classes = spark.createDataFrame(
+        [(i, none) for i in range(n_sets)], "set_id bigint, parities array<bigint>"
+    )
+    found = [tuple(r) for r in partenum._meetings(groups, classes).collect()]
+    pairs = {(i, j) for j in range(n_sets) for i in range(j) if set(own[i]) & set(own[j])}
+    assert set(found) == pairs
+    assert len(found) < 1.5 * len(pairs)
+    assert partenum._across(groups, classes).count() == len(pairs)
+
+
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    for size in (1, 40, 200, 3_000, 60_000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for gone, new in ((0, 0), (1, 0), (size // 6, size // 3), (size // 2, size // 2)):
+            b = np.concatenate((a[gone:], rng.integers(0, 2**63, new).astype(np.uint64)))
+            b = np.unique(np.append(b, np.uint64(7)))
+            apart, found = len(np.setxor1d(a, b)), partenum.least_apart(partenum.sketch(a), partenum.sketch(b))
+            assert found <= apart
+            assert found > 0.6 * apart - 5 or size > 30_000
+
+
 def test_one_of_each(docs):
     kept = [r["doc_id"] for r in partenum.one_of_each(docs).collect()]
     expected = {(d, c) for d, _, c in brute_components(some_texts())}

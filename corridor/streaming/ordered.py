@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,20 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 #: The event time in microseconds, the first column of every row that waits.
 AT = "at_micros"
+#: Numbered rows that leave a key together.
+ROWS_OUT = 50_000
+
+
+def packed(rows: pa.Table) -> tuple[bytes]:
+    """Rows as one element of the list state: Arrow's stream format."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_table(rows)
+    return (sink.getvalue().to_pybytes(),)
+
+
+def unpacked(element: tuple[bytes]) -> pa.Table:
+    return pa.ipc.open_stream(element[0]).read_all()
 
 
 class InOrder(StatefulProcessor):
@@ -19,7 +35,8 @@ class InOrder(StatefulProcessor):
 
     The state of a key is the number and the carried values of its last numbered row,
     and the rows that later ones may still precede: what arrived within the watermark's
-    delay. A timer of the earliest waiting row wakes it.
+    delay. They wait as Arrow batches, not row by row. A timer of the earliest waiting row
+    wakes it.
     """
 
     def __init__(
@@ -41,16 +58,17 @@ class InOrder(StatefulProcessor):
                 [T.StructField("row_no", T.LongType()), *(self.waiting_type[c] for c in self.carry)]
             ),
         )
-        self.waiting = handle.getListState("waiting", self.waiting_type)
+        self.waiting = handle.getListState(
+            "waiting", T.StructType([T.StructField("rows", T.BinaryType())])
+        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = self.waiting_type.names
         earliest = None
         for part in rows:
             # Names that are no Python names arrive changed; the order of columns is kept.
-            part = part.set_axis(self.columns, axis=1)
-            part = part[names].astype(object).where(part[names].notna(), None)
-            self.waiting.appendList(list(part.itertuples(index=False, name=None)))
+            part = part.set_axis(self.columns, axis=1)[names]
+            self.waiting.appendValue(packed(pa.Table.from_pandas(part, preserve_index=False)))
             first = int(part[AT].min())
             earliest = first if earliest is None else min(earliest, first)
         if earliest is not None:
@@ -69,31 +87,38 @@ class InOrder(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark_ms = timerValues.getCurrentWatermarkInMs()
         passed = watermark_ms * 1000
-        names = self.waiting_type.names
-        rows = pd.DataFrame(list(self.waiting.get()), columns=names, dtype=object)
-        ready = rows[rows[AT] <= passed].sort_values(self.order, kind="stable")
-        later = rows[rows[AT] > passed]
+        # A part whose values of a column are all null does not know its type.
+        rows = pa.concat_tables(map(unpacked, self.waiting.get()), promote_options="permissive")
+        ready = rows.filter(pc.field(AT) <= passed)
+        later = rows.filter(pc.field(AT) > passed)
         if len(later):
-            self.waiting.put(list(later.itertuples(index=False, name=None)))
-            self._wake_at(int(later[AT].min()), watermark_ms)
+            self.waiting.put([packed(part) for part in _parts(later)])
+            self._wake_at(pc.min(later[AT]).as_py(), watermark_ms)
         else:
             self.waiting.clear()
         if not len(ready):
             return
+        ready = ready.take(pc.sort_indices(ready, [(c, "ascending") for c in self.order]))
         before = self.last.get() if self.last.exists() else (0, *(None for _ in self.carry))
-        out = ready.drop(columns=self.keys, errors="ignore").reset_index(drop=True)
-        out.insert(0, "row_no", range(before[0] + 1, before[0] + 1 + len(out)))
-        for i, c in enumerate(self.carry, 1):
-            out[f"prev_{c}"] = [before[i], *out[c].iloc[:-1]]
-        self.last.update((int(out["row_no"].iloc[-1]), *(out[c].iloc[-1] for c in self.carry)))
-        for name, value in zip(self.keys, key):
-            out[name] = value
-        yield out
+        for part in _parts(ready):
+            out = part.to_pandas(integer_object_nulls=True)
+            out.insert(0, "row_no", range(before[0] + 1, before[0] + 1 + len(out)))
+            for i, c in enumerate(self.carry, 1):
+                out[f"prev_{c}"] = [before[i], *out[c].iloc[:-1]]
+            for name, value in zip(self.keys, key):
+                out[name] = value
+            before = (before[0] + len(out), *(part[c][-1].as_py() for c in self.carry))
+            yield out
+        self.last.update(before)
 
     def close(self) -> None:
         pass
 
 
+def _parts(rows: pa.Table) -> Iterator[pa.Table]:
+    return (rows.slice(at, ROWS_OUT) for at in range(0, len(rows), ROWS_OUT))
+
+
 def number_stream(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = ()
 ) -> DataFrame:

@@ -4,9 +4,12 @@ import datetime
 import random
 from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
 import pytest
 from conftest import SF, rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corridor.operators.events import parse_events, validate_events
 from corridor.operators.ordering import number_rows
@@ -18,7 +21,7 @@ from corridor.sources import deliveries, log, tables
 from corridor.sources.folders import Folder
 from corridor.streaming import jobs, sinks
 from corridor.streaming.late import LateRows
-from corridor.streaming.ordered import number_stream
+from corridor.streaming.ordered import AT, InOrder, number_stream
 
 
 def silver_stream(spark, path):
@@ -164,6 +167,68 @@ def test_rows_are_numbered_in_event_time_on_a_stream(spark):
     assert rows(tables.read_table(spark, f"{out}/t")) == rows(want)
 
 
+class Held:
+    """List, value and timers of a key, kept here."""
+
+    def __init__(self):
+        self.rows, self.value, self.timers = [], None, []
+
+    def getListState(self, name, schema):
+        return SimpleNamespace(
+            appendValue=self.rows.append, appendList=self.rows.extend,
+            get=lambda: iter(list(self.rows)), clear=self.rows.clear,
+            put=lambda new: self.rows.__setitem__(slice(None), new),
+        )
+
+    def getValueState(self, name, schema):
+        return SimpleNamespace(
+            exists=lambda: self.value is not None, get=lambda: self.value,
+            update=lambda new: setattr(self, "value", new),
+        )
+
+    def listTimers(self):
+        return iter(list(self.timers))
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_rows_wait_in_batches_not_one_by_one():
+    waiting = T.StructType(
+        [T.StructField(AT, T.LongType()), T.StructField("name", T.StringType()), T.StructField("speed", T.DoubleType())]
+    )
+    held, n = Held(), 120_000
+    order = InOrder(["train", *waiting.names], ["train"], ["name"], ["speed", "name"], waiting)
+    order.init(held)
+    rng = np.random.default_rng(2)
+    at = rng.permutation(n) // 2 * 1000
+    parts = [
+        pd.DataFrame({"train": "t", AT: at[i : i + 10_000], "name": None if not i else [f"é{x}" for x in range(i, i + 10_000)],
+                      "speed": np.where(np.arange(10_000) % 9 == 0, np.nan, np.arange(10_000.0))})
+        for i in range(0, n, 10_000)
+    ]
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    assert not list(order.handleInputRows(("t",), iter(parts), now))
+    assert len(held.rows) <= len(parts) and len(held.timers) == 1
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: n // 2 - 101)
+    first = list(order.handleExpiredTimer(("t",), now, None))
+    assert len(first) > 1 and sum(map(len, first)) == n - 200
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: n)
+    rest = list(order.handleExpiredTimer(("t",), now, None))
+    assert not held.rows and not list(order.handleInputRows(("t",), iter(()), now))
+    got = pd.concat(first + rest, ignore_index=True)
+    want = pd.concat(parts).sort_values([AT, "name"], kind="stable", ignore_index=True)
+    assert got["row_no"].tolist() == list(range(1, n + 1)) and (got["train"] == "t").all()
+    for c in waiting.names:
+        assert got[c].astype(object).where(got[c].notna(), None).tolist() == want[c].astype(object).where(want[c].notna(), None).tolist()
+    for c in ("speed", "name"):
+        before = got[f"prev_{c}"].astype(object).where(got[f"prev_{c}"].notna(), None)
+        assert before.tolist() == [None, *want[c].astype(object).where(want[c].notna(), None)][:-1]
+
+
 def test_restart_loses_and_repeats_nothing(spark, layers):
     jobs.prepare_state(spark)
     out = new_path(spark, "restart")

@@ -49,6 +49,8 @@ FOLDS, HELD_OUT = 7, 2
 TALLY_KEYS = 1 << 20
 #: Words taken from the class bigrams' prior, in tokens.
 BACKOFF = 5.0
+#: Tokens of a block that a task works on at a time; a longer document is taken whole.
+PIECE = 1 << 18
 
 # Classes: exchanged ones, then by count (bit length up to 63), then the end token.
 _BY_COUNT = CLASSES
@@ -188,14 +190,25 @@ def _sequences(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, ends, row["held_out"].astype(bool)
 
 
-def _class_rows(row: dict, classes: Classes) -> tuple[np.ndarray, ...]:
-    """Per token of a block: word number, class, class before it; and the documents' ends."""
+def _class_rows(row: dict, classes: Classes) -> Iterator[tuple]:
+    """A block in pieces of whole documents, so that what is worked out per token stays small.
+
+    Per token its word in the block, class, class before it and number among the frequent
+    words; the words' counts; the documents' ends in the piece, held out, and ids.
+    """
     tokens, ends, held = _sequences(row)
-    words, counts = row["words"].view(np.uint64), row["counts"]
-    of_word, number = classes.of_words(words, counts)
-    of = np.append(of_word, np.int32(END))[tokens]
-    before = np.concatenate((np.array([END], np.int32), of[:-1]))
-    return tokens, of, before, np.append(number, np.int32(-1))[tokens], counts, ends, held
+    of_word, number = classes.of_words(row["words"].view(np.uint64), row["counts"])
+    of_word, number = np.append(of_word, np.int32(END)), np.append(number, np.int32(-1))
+    first = 0
+    while first < len(ends):
+        start = ends[first - 1] + 1 if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, start + PIECE)))
+        piece = tokens[start : ends[last - 1] + 1]
+        of = of_word[piece]
+        before = np.concatenate((np.array([END], np.int32), of[:-1]))
+        ids = row["doc_ids"][first:last] if "doc_ids" in row else None
+        yield piece, of, before, number[piece], row["counts"], ends[first:last] - start, held[first:last], ids
+        first = last
 
 
 def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -267,18 +280,18 @@ def _statistics(blocks: DataFrame, classes: Classes, contexts: bool) -> DataFram
         width = 2 * N_CLASSES
         tally = _Tally()
         for row in _rows_of(batches):
-            tokens, of, before, number, _, ends, held = _class_rows(row, known)
-            learnt = np.repeat(~held, np.diff(np.concatenate(([-1], ends))))
-            bigrams += np.bincount(
-                (before * N_CLASSES + of)[learnt], minlength=N_CLASSES * N_CLASSES
-            )
-            if contexts and len(known.frequent):
-                after = np.append(of[1:], np.int32(END))
-                use = learnt & (number >= 0)
-                base = number[use].astype(np.int64) * width
-                for side, other in enumerate((before, after)):
-                    for keys, n in tally.add(base + (side * N_CLASSES + other[use])):
-                        yield counts(keys // width, keys % width, n)
+            for _, of, before, number, _, ends, held, _ in _class_rows(row, known):
+                learnt = np.repeat(~held, np.diff(np.concatenate(([-1], ends))))
+                bigrams += np.bincount(
+                    (before * N_CLASSES + of)[learnt], minlength=N_CLASSES * N_CLASSES
+                )
+                if contexts and len(known.frequent):
+                    after = np.append(of[1:], np.int32(END))
+                    use = learnt & (number >= 0)
+                    base = number[use].astype(np.int64) * width
+                    for side, other in enumerate((before, after)):
+                        for keys, n in tally.add(base + (side * N_CLASSES + other[use])):
+                            yield counts(keys // width, keys % width, n)
         for keys, n in tally.rest():
             yield counts(keys // width, keys % width, n)
         at = np.flatnonzero(bigrams)
@@ -438,24 +451,24 @@ def score(blocks: DataFrame, model: Model) -> DataFrame:
         n_end = m.tokens[END]
         room = np.log10(m.tokens + m.words + 1)
         for row in _rows_of(batches):
-            tokens, of, before, _, counts, ends, held = _class_rows(row, m.classes)
-            c = np.append(counts, n_end)[tokens].astype(np.float64)
-            starts = np.concatenate(([0], ends[:-1] + 1))
-            base = np.log10((c + 1) / (n + v + 1))
-            own = m.transitions[before, of] + np.log10(c + 1) - room[of]
-            size = len(starts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(held),
-                    pa.array(ends - starts + 1),
-                    pa.array(np.add.reduceat((c > 0).astype(np.int64), starts)),
-                    pa.array(np.full(size, n, np.int64)),
-                    pa.array(np.add.reduceat(base, starts)),
-                    pa.array(np.add.reduceat(own, starts)),
-                ],
-                [f.split()[0] for f in _SCORES.split(", ")],
-            )
+            for tokens, of, before, _, counts, ends, held, ids in _class_rows(row, m.classes):
+                c = np.append(counts, n_end)[tokens].astype(np.float64)
+                starts = np.concatenate(([0], ends[:-1] + 1))
+                base = np.log10((c + 1) / (n + v + 1))
+                own = m.transitions[before, of] + np.log10(c + 1) - room[of]
+                size = len(starts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids, pa.int64()),
+                        pa.array(held),
+                        pa.array(ends - starts + 1),
+                        pa.array(np.add.reduceat((c > 0).astype(np.int64), starts)),
+                        pa.array(np.full(size, n, np.int64)),
+                        pa.array(np.add.reduceat(base, starts)),
+                        pa.array(np.add.reduceat(own, starts)),
+                    ],
+                    [f.split()[0] for f in _SCORES.split(", ")],
+                )
 
     return blocks.select(
         "doc_ids", "tokens", "lengths", "held_out", "words", "counts"

@@ -156,3 +156,30 @@ def test_copies_without_an_id_are_removed_too(spark):
     assert kept.pop(2) == 7 and kept.pop(4) == -5
     assert len(kept) == 3 and {8, 9} < set(kept) and set(kept) & {5, 6, 7}
     assert set(kept.values()) == {None}
+
+
+def test_brown_scores_do_not_depend_on_the_pieces_of_a_block(spark, monkeypatch):
+    """A block is worked on in pieces of bounded size, documents stay whole."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{w}" for w in rng.integers(0, 30, rng.integers(0, 60))) for _ in range(200)]
+    counts = collections.Counter(" ".join(texts).split())
+    words = sorted(counts)
+    lengths = np.array([len(t.split()) for t in texts])
+    at = {w: i for i, w in enumerate(words)}
+    row = {
+        "tokens": brown._planes(np.array([at[w] for t in texts for w in t.split()], np.int32)),
+        "lengths": lengths,
+        "held_out": np.arange(200) % 7 == 2,
+        "words": np.arange(len(words), dtype=np.int64),
+        "counts": np.array([counts[w] for w in words]),
+        "doc_ids": list(range(200)),
+    }
+    classes = brown.Classes(np.array([3, 5], np.uint64), np.array([1, 0]))
+    (whole,) = brown._class_rows(row, classes)
+    monkeypatch.setattr(brown, "PIECE", 100)
+    pieces = list(brown._class_rows(row, classes))
+    assert max(len(p[0]) for p in pieces) <= 100 and len(pieces) > 20
+    for i in (0, 1, 2, 3, 6, 7):
+        assert np.array_equal(np.concatenate([p[i] for p in pieces]), whole[i])
+    starts = np.cumsum([0, *(len(p[0]) for p in pieces[:-1])])
+    assert np.array_equal(np.concatenate([p[5] + s for p, s in zip(pieces, starts)]), whole[5])

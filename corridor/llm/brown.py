@@ -4,18 +4,19 @@
 lower-case words and one end token, which is also the context of its first word.
 
 Texts are first turned into blocks of about ``BLOCK`` bytes, one row each: a dictionary of
-the block's words (64-bit hashes) and all tokens as numbers in it. Dictionaries are
-shuffled to give every word of every block its count in the whole training corpus, and
-blocks are shuffled once, when they are joined to those counts and stored. Every later
-pass reads blocks with their counts; none of them shuffles tokens or needs a word table
-in memory.
-
-Words with at least one ``FREQUENT``-th of all training tokens (hence at most ``FREQUENT``
-words, a bound that makes their table safe to broadcast) start in classes by hash and are
-exchanged: every pass counts, for each of them, the classes before and after it; every
-word then moves to the class that raises the likelihood of the class bigrams most, its
-own counts taken out. All other words form classes by the logarithm of their count, the
-unseen ones with those seen once; their emission probabilities are their own counts.
+the block's words (64-bit hashes) and all tokens as numbers in it. The exchange reads these
+blocks and shuffles no tokens. Blocks are shuffled once, when they are joined to the counts
+and classes of their words and stored for the last figures and the scores.
+
+Every word of the training rows gets its class by its neighbours. Words with at least one
+``FREQUENT``-th of all training tokens (hence at most ``FREQUENT`` words, a bound that makes
+their table safe to broadcast) start in classes by hash and are exchanged: every pass
+counts, for each of them, the classes before and after it; every word then moves to the
+class that raises the likelihood of the class bigrams most, its own counts taken out. All
+other words, however rare, stand outside the classes so far, as one class ``REST``. The
+neighbours of each are then brought together in one shuffle, and it joins the class that
+raises the likelihood of the class bigrams most. Words that no training row has keep ``REST``;
+one's probability is what every class leaves for an unseen word, by the class's own.
 
 Null texts count as empty: the end token alone. Without training rows all probabilities
 come from the smoothing. Repeated rows count as often as they occur. A document may be
@@ -33,12 +34,12 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from corridor.llm.batches import id_and_text, mixed, slices, utf8
-from corridor.llm.stored import stored
+from corridor.llm.stored import small_side, stored
 
 BLOCK = 16 << 20
 CLASSES = 32
@@ -52,14 +53,19 @@ BACKOFF = 5.0
 #: Tokens of a block that a task works on at a time; a longer document is taken whole.
 PIECE = 1 << 18
 
-# Classes: exchanged ones, then by count (bit length up to 63), then the end token.
-_BY_COUNT = CLASSES
-END = CLASSES + 64
+# Classes: those of words, then that of words outside them, then the end token.
+REST = CLASSES
+END = REST + 1
 N_CLASSES = END + 1
+#: Rows with the neighbours of a word in a block that leave a task together.
+ROWS_OUT = 1 << 16
+
+#: A word of a block that is not frequent: its place there, count, class, whether it leads.
+_ENTRY = np.dtype([("at", "<i4"), ("c", "<i8"), ("class", "u1"), ("lead", "u1")])
 
 _BLOCKS = (
     "block bigint, doc_ids array<bigint>, held_out array<boolean>, lengths array<int>,"
-    " tokens binary, words array<bigint>, n_train array<int>"
+    " tokens binary, words array<bigint>, n_train array<int>, n_learnt bigint"
 )
 
 
@@ -90,6 +96,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 [_planes(tokens)],
                 [words.view(np.int64)],
                 [np.bincount(learnt, minlength=len(known)).astype(np.int32)],
+                [len(learnt) + held.count(False)],
             ]
             kinds = [
                 pa.int64(),
@@ -99,6 +106,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 pa.binary(),
                 pa.list_(pa.int64()),
                 pa.list_(pa.int32()),
+                pa.int64(),
             ]
             names = [c.split()[0] for c in _BLOCKS.split(", ")]
             return pa.RecordBatch.from_arrays(
@@ -120,46 +128,25 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return id_and_text(docs).withColumn("held_out", held).mapInArrow(run, _BLOCKS)
 
 
-def _with_counts(blocks: DataFrame) -> DataFrame:
-    """Blocks plus ``counts``: the training count of each dictionary word in the corpus.
-
-    ``n_first`` counts the words whose smallest block this is, to count the vocabulary.
-    """
-    same = Window.partitionBy("word")
-    counted = (
-        blocks.select("block", F.posexplode(F.arrays_zip("words", "n_train")).alias("at", "w"))
-        .select("block", "at", F.col("w.words").alias("word"), F.col("w.n_train").alias("n"))
-        .withColumns({"c": F.sum("n").over(same), "first": F.min("block").over(same)})
-    )
-    per_block = counted.groupBy("block").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("at", "c"))), lambda x: x["c"]
-        ).alias("counts"),
-        F.count_if((F.col("block") == F.col("first")) & (F.col("c") > 0)).alias("n_first"),
-    )
-    return blocks.withColumnRenamed("n_train", "n_here").join(per_block, "block", "left")
-
-
 @dataclass
 class Corpus:
-    """Training totals and the words that take part in the exchange."""
+    """Training totals."""
 
     n_tokens: int
     n_words: int
-    frequent: np.ndarray  # sorted hashes
 
 
 @dataclass
 class Classes:
-    """Classes of the frequent words, in the order of their hashes."""
+    """Classes and training counts of the frequent words, in the order of their hashes."""
 
     frequent: np.ndarray
     of: np.ndarray
+    counts: np.ndarray
 
-    def of_words(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of_words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class of each word, and its number among the frequent ones (-1: none)."""
-        bits = np.frexp(np.maximum(counts, 1).astype(np.float64))[1] - 1
-        classes = (_BY_COUNT + bits).astype(np.int32)
+        classes = np.full(len(words), REST, np.int32)
         number = np.full(len(words), -1, np.int32)
         if len(self.frequent):
             at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
@@ -168,20 +155,38 @@ class Classes:
             classes[found] = self.of[at[found]]
         return classes, number
 
+    def of_block(self, row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class, number and training count of each word of a block.
+
+        The others' classes and counts stand in the block, if they have been placed.
+        """
+        classes, number = self.of_words(row["words"].view(np.uint64))
+        counts = np.zeros(len(number), np.int64)
+        counts[number >= 0] = self.counts[number[number >= 0]]
+        if "entries" in row:
+            at = row["entries"]["at"]
+            classes[at] = row["entries"]["class"]
+            counts[at] = row["entries"]["c"]
+        return classes, number, counts
+
 
 def _planes(tokens: np.ndarray) -> bytes:
-    """32-bit numbers as four planes of bytes, which compress well: the upper ones are nearly 0."""
-    return tokens.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """32-bit numbers as four planes of bytes, compressed: the upper ones are nearly 0."""
+    planes = tokens.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return pa.compress(planes, codec="zstd", asbytes=True) if planes else b""
 
 
-def _from_planes(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<i4")[:, 0]
+def _from_planes(raw: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.empty(0, np.int32)
+    planes = pa.decompress(raw, decompressed_size=4 * n, codec="zstd")
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<i4")[:, 0]
 
 
 def _sequences(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of a block with an end (-1) after each document; where documents end; held out."""
-    tokens = _from_planes(row["tokens"])
     lengths = row["lengths"].astype(np.int64)
+    tokens = _from_planes(row["tokens"], int(lengths.sum()))
     ends = np.cumsum(lengths + 1) - 1
     out = np.full(len(tokens) + len(lengths), -1, np.int32)
     is_word = np.ones(len(out), bool)
@@ -197,7 +202,7 @@ def _class_rows(row: dict, classes: Classes) -> Iterator[tuple]:
     words; the words' counts; the documents' ends in the piece, held out, and ids.
     """
     tokens, ends, held = _sequences(row)
-    of_word, number = classes.of_words(row["words"].view(np.uint64), row["counts"])
+    of_word, number, counts = classes.of_block(row)
     of_word, number = np.append(of_word, np.int32(END)), np.append(number, np.int32(-1))
     first = 0
     while first < len(ends):
@@ -207,7 +212,7 @@ def _class_rows(row: dict, classes: Classes) -> Iterator[tuple]:
         of = of_word[piece]
         before = np.concatenate((np.array([END], np.int32), of[:-1]))
         ids = row["doc_ids"][first:last] if "doc_ids" in row else None
-        yield piece, of, before, number[piece], row["counts"], ends[first:last] - start, held[first:last], ids
+        yield piece, of, before, number[piece], counts, ends[first:last] - start, held[first:last], ids
         first = last
 
 
@@ -217,9 +222,11 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for i in range(batch.num_rows):
             row = {}
             for name, column in zip(batch.schema.names, batch.columns, strict=True):
-                if name == "doc_ids" or not pa.types.is_list(column.type):
+                if name == "entries":
+                    row[name] = np.frombuffer(b"".join(column[i].as_py() or []), _ENTRY)
+                elif name == "doc_ids" or not pa.types.is_list(column.type):
                     row[name] = column[i].as_py()
-                elif column[i].values is None:  # a block without words
+                elif column[i].values is None:  # a block without such words
                     row[name] = np.empty(0, np.int64)
                 else:
                     row[name] = column[i].values.to_numpy(zero_copy_only=False)
@@ -298,7 +305,7 @@ def _statistics(blocks: DataFrame, classes: Classes, contexts: bool) -> DataFram
         yield counts(np.full(len(at), -1), at, bigrams[at])
 
     return (
-        blocks.select("tokens", "lengths", "held_out", "words", "counts")
+        blocks.select("tokens", "lengths", "held_out", "words", *_placed_columns(blocks))
         .mapInArrow(run, "number bigint, cell bigint, n bigint")
         .groupBy("number", "cell")
         .agg(F.sum("n").alias("n"))
@@ -363,7 +370,7 @@ def _exchanged(statistics: DataFrame, classes: Classes, bigrams: np.ndarray) ->
     )
     of = classes.of.copy()
     of[moved["number"].to_numpy()] = moved["class"].to_numpy()
-    return Classes(classes.frequent, of)
+    return Classes(classes.frequent, of, classes.counts)
 
 
 @dataclass
@@ -377,66 +384,193 @@ class Model:
     words: np.ndarray
 
 
-def train(blocks: DataFrame, classes: int = CLASSES, passes: int = PASSES) -> Model:
-    """Exchange clustering and the final counts, all from blocks with counts."""
-    figures = blocks.select(
-        F.size(F.filter("held_out", lambda h: ~h)).alias("docs"), "n_first"
-    ).agg(F.sum("docs"), F.sum("n_first")).first()
-    n_docs, n_words = (int(n or 0) for n in figures)
-    bare = Classes(np.empty(0, np.uint64), np.empty(0, np.int64))
-    n_tokens = int(
-        _statistics(blocks, bare, False).where("number = -1").agg(F.sum("n")).first()[0] or 0
+def _frequent(blocks: DataFrame, n_tokens: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and training counts of the words with a ``FREQUENT``-th of all tokens.
+
+    A word has less than a quarter of that share of every block where it is not heavy. Only
+    words whose heavy blocks and that much of all others could make it frequent are counted.
+    """
+    least, quarter = max(2, -(-n_tokens // FREQUENT)), F.lit(4 * FREQUENT).cast("bigint")
+    entries = blocks.select("n_learnt", F.explode(F.arrays_zip("words", "n_train")).alias("w")).select(
+        F.col("w.words").alias("word"), F.col("w.n_train").alias("n"), "n_learnt"
+    )
+    may = stored(
+        entries.where((F.col("n") > 0) & (F.col("n") * quarter >= F.col("n_learnt")))
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"), F.sum("n_learnt").alias("heavy"))
+        .where(F.col("n") * quarter + n_tokens - F.col("heavy") >= least * quarter)
+        .select("word"),
+        "candidates",
     )
-    least = max(2, -(-n_tokens // FREQUENT))
-    frequent = (
-        blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
-        .where(F.col("w.counts") >= least)
-        .select(F.col("w.words").alias("word"))
-        .distinct()
-        .toPandas()["word"]  # at most FREQUENT words: each has that share of all tokens
-        .to_numpy(np.int64)
+    counted = (
+        entries.where(F.col("n") > 0)
+        .join(small_side(may), "word", "left_semi")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= least)
+        .toPandas()  # at most FREQUENT words: each has that share of all tokens
     )
-    hashes = np.sort(frequent.view(np.uint64))
-    found = Classes(hashes, (mixed(hashes) % np.uint64(classes)).astype(np.int64))
+    hashes = counted["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], counted["n"].to_numpy(np.int64)[order]
+
+
+def exchange(blocks: DataFrame, n_tokens: int, classes: int = CLASSES, passes: int = PASSES) -> Classes:
+    """Classes of the frequent words after some passes of exchange."""
+    hashes, counts = _frequent(blocks, n_tokens)
+    found = Classes(hashes, (mixed(hashes) % np.uint64(classes)).astype(np.int64), counts)
     for _ in range(passes if len(hashes) else 0):
         statistics = stored(_statistics(blocks, found, True), "statistics")
         bigrams = _bigrams(statistics.where("number = -1").collect())
         found = _exchanged(statistics, found, bigrams)
-    bigrams = _bigrams(_statistics(blocks, found, False).where("number = -1").collect())
-    shares = (bigrams.sum(axis=0) + 1) / (bigrams.sum() + N_CLASSES)
-    smooth = (bigrams + BACKOFF * shares) / (bigrams.sum(axis=1, keepdims=True) + BACKOFF)
-    corpus = Corpus(n_tokens, n_words + (n_docs > 0), hashes)
-    return Model(corpus, found, np.log10(smooth), bigrams.sum(axis=0), _class_sizes(blocks, found))
+    return found
+
+
+def _neighbours(blocks: DataFrame, classes: Classes) -> DataFrame:
+    """Per block and word that is not frequent: the classes before and after each training token.
+
+    ``around`` has two bytes for each such token.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for row in _rows_of(batches):
+            found, pairs = [np.empty(0, np.int32)], [np.empty((0, 2), np.uint8)]
+            for tokens, of, before, number, _, ends, held, _ in _class_rows(row, known):
+                learnt = np.repeat(~held, np.diff(np.concatenate(([-1], ends))))
+                use = np.flatnonzero(learnt & (number < 0) & (tokens >= 0))
+                found.append(tokens[use])
+                # A word is never the last token: its document's end follows.
+                pairs.append(np.stack((before[use], of[use + 1]), axis=1).astype(np.uint8))
+            tokens, around = np.concatenate(found), np.concatenate(pairs)
+            around = around[np.argsort(tokens, kind="stable")]
+            words = row["words"]
+            at = np.flatnonzero(known.of_words(words.view(np.uint64))[1] < 0)
+            times = np.bincount(tokens, minlength=len(words))[at]
+            ends = np.concatenate(([0], np.cumsum(times)))
+            for i in range(0, len(at), ROWS_OUT):
+                part = at[i : i + ROWS_OUT]
+                offsets = ends[i : i + len(part) + 1]
+                data = np.ascontiguousarray(around[offsets[0] : offsets[-1]])
+                offsets = (2 * (offsets - offsets[0])).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(words[part], pa.int64()),
+                        pa.array(np.full(len(part), row["block"], np.int64)),
+                        pa.array(part.astype(np.int32)),
+                        pa.Array.from_buffers(
+                            pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+                        ),
+                    ],
+                    ["word", "block", "at", "around"],
+                )
+
+    return blocks.select("block", "tokens", "lengths", "held_out", "words").mapInArrow(
+        run, "word bigint, block bigint, at int, around binary"
+    )
+
+
+def joined_classes(times: np.ndarray, around: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+    """The best class of words outside the classes, by the counts of ``best_classes``.
+
+    Sizes are smoothed as their pairs are, so an empty class does not draw all words. Word i has ``times[i]`` rows of ``around``: the classes before and after it. ``REST``
+    for words without any.
+    """
+    totals_out, totals_in = bigrams.sum(axis=1)[:CLASSES], bigrams.sum(axis=0)[:CLASSES]
+    into = np.log(bigrams[:, :CLASSES] + 0.5) - np.log(totals_in + 0.5 * N_CLASSES)
+    onto = np.log(bigrams[:CLASSES] + 0.5).T - np.log(totals_out + 0.5 * N_CLASSES)
+    out = np.full(len(times), REST, np.int32)
+    has = np.flatnonzero(times)
+    if len(has):
+        gain = into[around[:, 0]] + onto[around[:, 1]]
+        starts = np.cumsum(times[has]) - times[has]
+        out[has] = np.add.reduceat(gain, starts).argmax(axis=1)
+    return out
+
+
+def _placed(blocks: DataFrame, classes: Classes, bigrams: np.ndarray) -> DataFrame:
+    """Blocks plus ``entries``: place, count and class of their words that are not frequent.
+
+    ``lead`` marks one of the blocks a word lies in, so that words can be counted. What a
+    batch has for a block is one value of bytes.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(bigrams)
+
+    def place(rows: pa.Table) -> pa.RecordBatch:
+        words = rows["word"].to_numpy()
+        starts = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+        around = rows["around"].to_pylist()
+        n = np.fromiter(map(len, around), np.int64, len(around)) // 2
+        times = np.add.reduceat(n, starts)
+        pairs = np.frombuffer(b"".join(around), np.uint8).reshape(-1, 2)
+        rows_each = np.diff(np.append(starts, len(words)))
+        entries = np.zeros(len(words), _ENTRY)
+        entries["at"] = rows["at"].to_numpy()
+        entries["c"] = np.repeat(times, rows_each)
+        entries["class"] = np.repeat(joined_classes(times, pairs, shared.value), rows_each)
+        entries["lead"][starts] = 1
+        block = rows["block"].to_numpy()
+        order = np.argsort(block, kind="stable")
+        block, entries = block[order], entries[order]
+        cuts = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block))
+        parts = [entries[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[cuts[:-1]]), pa.array(parts, pa.binary())], ["block", "entries"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = batch.column(0).to_numpy()
+            last = int(np.searchsorted(words, words[-1]))
+            # The last word's rows wait for more of it.
+            if last or (waiting and waiting[-1].column(0)[-1].as_py() != words[0]):
+                done = [*waiting, batch.slice(0, last)]
+                waiting = []
+                yield place(pa.Table.from_batches(done))
+            waiting.append(batch.slice(last))
+        if waiting:
+            yield place(pa.Table.from_batches(waiting))
+
+    per_block = (
+        _neighbours(blocks, classes)
+        .repartition("word")
+        .sortWithinPartitions("word")
+        .mapInArrow(run, "block bigint, entries binary")
+        .groupBy("block")
+        .agg(F.collect_list("entries").alias("entries"))
+    )
+    return blocks.drop("n_train", "n_learnt").join(per_block, "block", "left")
+
+
+def _placed_columns(blocks: DataFrame) -> list[str]:
+    return [c for c in ("entries",) if c in blocks.columns]
 
 
 def _class_sizes(blocks: DataFrame, classes: Classes) -> np.ndarray:
-    """Distinct training words of each class; words seen once per first block."""
+    """Distinct training words of each class."""
     words = np.bincount(classes.of, minlength=N_CLASSES).astype(np.float64)
-    shared = blocks.sparkSession.sparkContext.broadcast(classes.frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bare = Classes(shared.value, np.full(len(shared.value), -1, np.int64))
-        total = np.zeros(N_CLASSES)
+        total = np.zeros(N_CLASSES, np.int64)
         for row in _rows_of(batches):
-            counts = row["counts"]
-            of, _ = bare.of_words(row["words"].view(np.uint64), counts)
-            # A word lies in as many blocks as it does; each gives its share of one word.
-            use = (of >= 0) & (counts > 0)
-            share = row["n_here"][use] / counts[use]
-            total += np.bincount(of[use], share, minlength=N_CLASSES)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(N_CLASSES)), pa.array(total)], ["class", "n"]
-        )
+            entries = row["entries"]
+            use = (entries["lead"] > 0) & (entries["c"] > 0)
+            total += np.bincount(entries["class"][use], minlength=N_CLASSES)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(N_CLASSES)), pa.array(total)], ["class", "n"])
 
     rows = (
-        blocks.select("words", "counts", "n_here")
-        .mapInArrow(run, "class bigint, n double")
+        blocks.select("entries")
+        .mapInArrow(run, "class bigint, n bigint")
         .groupBy("class")
         .agg(F.sum("n").alias("n"))
         .collect()
     )
     for r in rows:
-        words[r["class"]] += round(r["n"])
+        words[r["class"]] += r["n"]
     words[END] = 1
     return words
 
@@ -450,12 +584,15 @@ def score(blocks: DataFrame, model: Model) -> DataFrame:
         n, v = m.corpus.n_tokens, m.corpus.n_words
         n_end = m.tokens[END]
         room = np.log10(m.tokens + m.words + 1)
+        # What the classes leave for a word that no training row has, by the class before it.
+        unseen = np.log10((10 ** (m.transitions - room))[:, :CLASSES].sum(axis=1))
         for row in _rows_of(batches):
             for tokens, of, before, _, counts, ends, held, ids in _class_rows(row, m.classes):
                 c = np.append(counts, n_end)[tokens].astype(np.float64)
                 starts = np.concatenate(([0], ends[:-1] + 1))
                 base = np.log10((c + 1) / (n + v + 1))
                 own = m.transitions[before, of] + np.log10(c + 1) - room[of]
+                own = np.where(of == REST, unseen[before], own)
                 size = len(starts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -471,7 +608,7 @@ def score(blocks: DataFrame, model: Model) -> DataFrame:
                 )
 
     return blocks.select(
-        "doc_ids", "tokens", "lengths", "held_out", "words", "counts"
+        "doc_ids", "tokens", "lengths", "held_out", "words", *_placed_columns(blocks)
     ).mapInArrow(run, _SCORES)
 
 
@@ -481,8 +618,23 @@ _SCORES = (
 )
 
 
+def train(first: DataFrame) -> tuple[DataFrame, Model]:
+    """Exchange, the classes of all other words, and the final counts; the blocks with them."""
+    is_learnt = F.size(F.filter("held_out", lambda h: ~h))
+    n_docs, n_tokens = (
+        int(n or 0) for n in first.select(is_learnt.alias("docs"), "n_learnt").agg(F.sum("docs"), F.sum("n_learnt")).first()
+    )
+    found = exchange(first, n_tokens)
+    bigrams = _bigrams(_statistics(first, found, False).where("number = -1").collect())
+    blocks = stored(_placed(first, found, bigrams), "placed", "zstd")
+    bigrams = _bigrams(_statistics(blocks, found, False).where("number = -1").collect())
+    shares = (bigrams.sum(axis=0) + 1) / (bigrams.sum() + N_CLASSES)
+    smooth = (bigrams + BACKOFF * shares) / (bigrams.sum(axis=1, keepdims=True) + BACKOFF)
+    words = _class_sizes(blocks, found)
+    corpus = Corpus(n_tokens, int(words.sum()) - (n_docs == 0))
+    return blocks, Model(corpus, found, np.log10(smooth), bigrams.sum(axis=0), words)
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """Learn from the training folds of ``docs`` and score all of them."""
-    first = stored(_blocks(docs), "blocks", "zstd")
-    blocks = stored(_with_counts(first), "counted", "zstd")
-    return score(blocks, train(blocks))
+    return score(*train(stored(_blocks(docs), "blocks", "zstd")))

@@ -4,13 +4,16 @@ import collections
 import random
 import string
 import time
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from corridor.llm import brown, byte_cnn, decontamination, partenum, secrets, toxic_segments
 from corridor.llm.batches import ready
+from corridor.llm.stored import stored
 
 BENCH = "bench passage one two three four five six seven eight nine ten tail"
 
@@ -171,10 +174,12 @@ def test_brown_scores_do_not_depend_on_the_pieces_of_a_block(spark, monkeypatch)
         "lengths": lengths,
         "held_out": np.arange(200) % 7 == 2,
         "words": np.arange(len(words), dtype=np.int64),
-        "counts": np.array([counts[w] for w in words]),
+        "entries": np.array(
+            [(i, counts[w], i % 4, 0) for i, w in enumerate(words) if i not in (3, 5)], brown._ENTRY
+        ),
         "doc_ids": list(range(200)),
     }
-    classes = brown.Classes(np.array([3, 5], np.uint64), np.array([1, 0]))
+    classes = brown.Classes(np.array([3, 5], np.uint64), np.array([1, 0]), np.array([9, 8]))
     (whole,) = brown._class_rows(row, classes)
     monkeypatch.setattr(brown, "PIECE", 100)
     pieces = list(brown._class_rows(row, classes))
@@ -183,3 +188,74 @@ def test_brown_scores_do_not_depend_on_the_pieces_of_a_block(spark, monkeypatch)
         assert np.array_equal(np.concatenate([p[i] for p in pieces]), whole[i])
     starts = np.cumsum([0, *(len(p[0]) for p in pieces[:-1])])
     assert np.array_equal(np.concatenate([p[5] + s for p, s in zip(pieces, starts)]), whole[5])
+
+
+def test_brown_gives_rare_words_the_best_class_too(spark, monkeypatch):
+    """Words below the share of the exchange are placed by all their neighbours in all blocks."""
+    monkeypatch.setattr(brown, "FREQUENT", 20)
+    monkeypatch.setattr(brown, "BLOCK", 1500)
+    rng = np.random.default_rng(3)
+    texts = []
+    for i in range(300):
+        a, b = (("x", "y") if rng.random() < 0.5 else ("p", "q"))
+        texts.append((i, " ".join(f"{a} m{a} {b} {a} {a}{rng.integers(40)} {b}" for _ in range(5)) + ("" if i else " once")))
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    first = stored(brown._blocks(docs), "blocks")
+    n_tokens = first.agg(F.sum("n_learnt")).first()[0]
+    learnt = [t for d, t in texts if zlib.crc32(str(d).encode()) % 7 != 2]
+    assert n_tokens == sum(len(t.split()) + 1 for t in learnt)
+    counts = collections.Counter(w for t in learnt for w in t.split())
+    found = brown.exchange(first, n_tokens)
+    frequent = {w for w, c in counts.items() if c * 20 >= n_tokens}
+    assert len(found.frequent) == len(frequent) == 6 and sorted(found.counts) == sorted(counts[w] for w in frequent)
+    bigrams = brown._bigrams(brown._statistics(first, found, False).where("number = -1").collect())
+    of = dict(zip(found.frequent.tolist(), found.of.tolist()))
+    number = lambda w: xxh3_64_intdigest(w.encode())
+    cell = lambda w: brown.END if w is None else of.get(number(w), brown.REST)
+    around = collections.defaultdict(lambda: np.zeros(2 * brown.N_CLASSES))
+    for t in learnt:
+        words = t.split()
+        for w, before, after in zip(words, [None, *words], [*words[1:], None]):
+            around[w][cell(before)] += 1
+            around[w][brown.N_CLASSES + cell(after)] += 1
+    want = {}
+    for w in set(counts) - frequent:
+        before, after = np.split(around[w], 2)
+        gains = [
+            before @ np.log(bigrams[:, k] + 0.5)
+            + after @ np.log(bigrams[k] + 0.5)
+            - counts[w] * (np.log(bigrams[:, k].sum() + brown.N_CLASSES / 2) + np.log(bigrams[k].sum() + brown.N_CLASSES / 2))
+            for k in range(brown.CLASSES)
+        ]
+        want[number(w)] = (counts[w], gains)
+    got, leads = collections.defaultdict(set), collections.Counter()
+    for r in brown._placed(first, found, bigrams).collect():
+        for at, c, k, lead in np.frombuffer(b"".join(r["entries"]), brown._ENTRY).tolist():
+            got[r["words"][at] % 2**64].add((c, k))
+            leads[r["words"][at] % 2**64] += lead
+    assert set(leads.values()) == {1}
+    for w, (n, gains) in want.items():
+        ((c, k),) = got[w]
+        assert c == n and gains[k] > max(gains) - 1e-9
+    assert len({k for w in want for _, k in got[w]}) > 1
+    assert all(v == {(0, brown.REST)} for w, v in got.items() if w not in want)
+
+
+def test_brown_finds_words_that_are_frequent_only_in_sum(spark, monkeypatch):
+    """A word with the share in one block, in none but in sum, or in few blocks only."""
+    monkeypatch.setattr(brown, "FREQUENT", 50)
+    rng = np.random.default_rng(6)
+    rows, totals, n = [], collections.Counter(), 0
+    for block in range(20):
+        counts = {w: int(rng.integers(1, 40)) for w in rng.permutation(200)[:80].tolist()}
+        rows.append((block, list(counts), list(counts.values()), sum(counts.values()) + 5))
+        totals.update(counts)
+        n += rows[-1][3]
+    blocks = spark.createDataFrame(rows, "block bigint, words array<bigint>, n_train array<int>, n_learnt bigint")
+    for share in (50, 150, 250, 400):
+        monkeypatch.setattr(brown, "FREQUENT", share)
+        hashes, counts = brown._frequent(blocks, n)
+        want = {w: c for w, c in totals.items() if c * share >= n and c > 1}
+        assert dict(zip(hashes.tolist(), counts.tolist())) == want
+        assert hashes.tolist() == sorted(hashes.tolist())
+    assert len(want) > 50
